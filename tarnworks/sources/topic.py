@@ -19,6 +19,7 @@ from tarnworks.schemas import TOPIC_RECORD
 from tarnworks.sources import filesystem as fs
 
 MAX_PARTITIONS = 10_000
+MAX_PEEK_BOUNDS = 200
 COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
@@ -87,8 +88,19 @@ def produce(messages: DataFrame, topic: Topic, order: list[str], order_is_unique
 
 
 def peek(spark: SparkSession, topic: Topic, n: int) -> DataFrame:
-    """The first ``n`` messages by (partition, offset); no reader position moves."""
-    return read_topic(spark, topic).orderBy("partition", "offset").limit(n)
+    """The first ``n`` messages by (partition, offset); no reader position moves.
+
+    Only the first ``n`` offsets of each partition can be among them, so that bound goes into the
+    scan and the message values of later offsets are never read.
+    """
+    messages = read_topic(spark, topic)
+    lows = watermarks(spark, topic).select("partition", "low").limit(MAX_PEEK_BOUNDS).collect()
+    if len(lows) < MAX_PEEK_BOUNDS:
+        near = F.lit(False)
+        for row in lows:
+            near = near | ((F.col("partition") == row["partition"]) & (F.col("offset") < row["low"] + n))
+        messages = messages.where(near)
+    return messages.orderBy("partition", "offset").limit(n)
 
 
 def watermarks(spark: SparkSession, topic: Topic) -> DataFrame:
