@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions.fixed_values import RELATIONAL_SOURCE, STREAM_SOURCE
 from tarnworks.operators.conform import with_lineage
+from tarnworks.workspace import spread
 
 LOADED_AT = "2025-01-01 00:00:00"
 
@@ -19,13 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+ITEM_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+
+
+def sales(spark: SparkSession, sf_dir: str, item: DataFrame | None = None) -> DataFrame:
     """The relational source: one sale per line item.
 
     Each lookup joins directly as a table scan, so Spark knows its size: it is broadcast while
     that stays under the threshold and shuffled, with skew splitting, beyond it.
     """
-    item = table(spark, sf_dir, "lineitem")
+    item = table(spark, sf_dir, "lineitem") if item is None else item
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -63,7 +67,8 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_lineage(sales(spark, sf_dir), RELATIONAL_SOURCE, loaded_at())
+    item = spread(table(spark, sf_dir, "lineitem").select(*ITEM_COLUMNS))
+    return with_lineage(sales(spark, sf_dir, item), RELATIONAL_SOURCE, loaded_at())
 
 
 def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:

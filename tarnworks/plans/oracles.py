@@ -122,6 +122,7 @@ _SALES = "id, sale_date, region, product, amount"
 _EVENT = "id, ts, region, product, amount"
 _STREAMED = _EVENT + ", kafka_partition, kafka_offset"
 _MONEY2 = "CAST(round(sum(amount), 2) AS DECIMAL(18,2))"
+_ROUNDED = "CAST(round(sum(amount), 2) AS DECIMAL(23,2))"
 _KEPT = "NOT coalesce(region = 'CLICK', false)"
 
 
@@ -154,9 +155,9 @@ ORACLES = {
     "federated_region_totals": _with(
         ["landing_sales"], f"SELECT region, count(*) AS rows_cnt, {_MONEY2} AS total FROM landing_sales GROUP BY region"),
     "scan_raw_glob": _with(["totals"], """
-        SELECT 2 * count(*) AS rows_cnt, CAST(2 * sum(total_amount) AS DECIMAL(22,2)) AS total FROM totals"""),
+        SELECT 2 * count(*) AS rows_cnt, CAST(2 * sum(total_amount) AS DECIMAL(33,2)) AS total FROM totals"""),
     "scan_versioned": _with(["totals"], """
-        SELECT count(*) AS rows_cnt, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total FROM totals"""),
+        SELECT count(*) AS rows_cnt, CAST(sum(total_amount) AS DECIMAL(33,2)) AS total FROM totals"""),
     "seed_sales": """
         SELECT g AS id, CAST(DATE '2025-01-01' + CAST(g % 180 AS INT) AS DATE) AS sale_date,
                (['EMEA', 'APAC', 'AMER', 'LATAM'])[1 + g % 4] AS region,
@@ -232,14 +233,14 @@ ORACLES = {
     "mart_quality": _with(["quality"], "SELECT * FROM quality"),
     "layer_counts": _with(["core"], "SELECT count(*) AS rows_cnt, count(*) FILTER (WHERE is_valid) AS valid_cnt FROM core"),
     "sales_by_region_product": _with(["totals"], "SELECT * FROM totals"),
-    "grand_total": _with(["landing_sales"], f"SELECT {_MONEY2} AS total FROM landing_sales"),
+    "grand_total": _with(["landing_sales"], f"SELECT {_ROUNDED} AS total FROM landing_sales"),
     "region_stats": _with(
-        ["landing_sales"], f"SELECT region, count(*) AS rows_cnt, {_MONEY2} AS total FROM landing_sales GROUP BY region"),
+        ["landing_sales"], f"SELECT region, count(*) AS rows_cnt, {_ROUNDED} AS total FROM landing_sales GROUP BY region"),
     "one_region_stats": _with(["landing_sales"], f"""
-        SELECT 'ASIA' AS region, count(*) AS rows_cnt, {_MONEY2} AS total FROM landing_sales WHERE region = 'ASIA'"""),
+        SELECT 'ASIA' AS region, count(*) AS rows_cnt, {_ROUNDED} AS total FROM landing_sales WHERE region = 'ASIA'"""),
     "region_stats_total": _with(["landing_sales"], f"""
-        SELECT count(*) AS regions_cnt, CAST(sum(n) AS BIGINT) AS rows_cnt, CAST(sum(t) AS DECIMAL(18,2)) AS total
-        FROM (SELECT count(*) AS n, {_MONEY2} AS t FROM landing_sales GROUP BY region)"""),
+        SELECT count(*) AS regions_cnt, CAST(sum(n) AS BIGINT) AS rows_cnt, CAST(sum(t) AS DECIMAL(34,2)) AS total
+        FROM (SELECT count(*) AS n, {_ROUNDED} AS t FROM landing_sales GROUP BY region)"""),
     "approx_regions": _with(
         ["landing_sales"], "SELECT count(*) AS rows_cnt, count(DISTINCT region) AS regions_cnt FROM landing_sales"),
     "distinct_regions": _with(["landing_sales"], "SELECT DISTINCT region FROM landing_sales"),

@@ -249,7 +249,7 @@ def compact_deletes(spark, sf_dir):
     rowops.delete_merge_on_read(table, F.col("region") == "CLICK")
     upkeep.compact(table, rewrite_all=True)
     upkeep.drop_dangling_deletes(table)
-    return table.read().withColumn("delete_files", F.lit(table.delete_files().count()))
+    return table.read().withColumn("delete_files", F.lit(table.delete_files().count()).cast("bigint"))
 
 
 def expire_snapshots(spark, sf_dir):
