@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.functions.money import to_mart_money
 from tarnworks.functions.times import is_weekend
 
 
-def totals_by_region_product(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("region", "product").agg(F.sum("amount").alias("total_amount"))
+def totals_by_region_product(sales: DataFrame, *more: Column) -> DataFrame:
+    """Sum per (region, product); ``more`` aggregates ride along."""
+    return sales.groupBy("region", "product").agg(F.sum("amount").alias("total_amount"), *more)
 
 
 def by_region_product_monthly(core: DataFrame) -> DataFrame:

@@ -30,11 +30,12 @@ def number_within(
     Writes two staging tables at most: one fixes the tie-break between copies, one fixes the
     range bounds. Both make the result independent of task retries.
     """
-    spark = df.sparkSession
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not order_is_unique:
         df = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
         order = [*order, F.col("_tie")]
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(wanted, df.rdd.getNumPartitions())  # one chunk per split of the staged files
+    chunks = chunks or wanted
     bounds = [F.col(key).asc_nulls_first() for key in keys] + order
 
     # monotonically_increasing_id packs (task, place in task) into one number

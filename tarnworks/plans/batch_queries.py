@@ -11,7 +11,7 @@ from tarnworks.operators import conform, distribution, marts, numbering, quality
 from tarnworks.plans import aggregate_etl, inputs, operational_db
 from tarnworks.sources import files, generators, jdbc
 from tarnworks.tables.versioned import VersionedTable
-from tarnworks.workspace import fresh_dir
+from tarnworks.workspace import fresh_dir, stage
 
 SEGMENTS = 4
 
@@ -58,7 +58,7 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales_total = inputs.sales(spark, sf_dir).agg(money_total(F.col("amount")).alias("v"))
-    rows = core(spark, sf_dir)
+    rows = stage(core(spark, sf_dir), "core")  # three totals follow from it
     relational = F.col("_source") == RELATIONAL_SOURCE
     valid = rows.where(F.col("is_valid") & relational).agg(money_total(F.col("amount")).alias("v"))
     by_product = marts.by_region_product_monthly(rows).where(relational)

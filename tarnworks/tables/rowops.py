@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tarnworks.tables.snapshot import Snapshot
@@ -66,7 +66,7 @@ def merge(
         for f in schema.fields
     ]))
     written = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return replace_files(table, "merge", base, gone, written)
+    return replace_files(table, "merge", base, gone, touched, written)
 
 
 def delete_copy_on_write(table: VersionedTable, predicate: Column) -> int:
@@ -80,7 +80,7 @@ def delete_copy_on_write(table: VersionedTable, predicate: Column) -> int:
     if not touched:
         return base.version
     kept = table.scan(base, paths=touched).where(~F.coalesce(predicate, F.lit(False)))
-    return replace_files(table, "delete", base, gone, kept)
+    return replace_files(table, "delete", base, gone, touched, kept)
 
 
 def delete_merge_on_read(table: VersionedTable, predicate: Column) -> int:
@@ -88,25 +88,23 @@ def delete_merge_on_read(table: VersionedTable, predicate: Column) -> int:
     base = table.snapshot()
     matches = table.scan(base, located=True).where(predicate)
     folder = f"deletes/commit={uuid.uuid4().hex}"
-    matches.select(F.col(FILE).alias("file_path"), F.col(ROW).alias("row_index")).write.parquet(f"{table.root}/{folder}")
-    part, removed, _ = table.describe(folder)
+    positions = matches.select(F.col(FILE).alias("file_path"), F.col(ROW).alias("row_index"))
+    seen = Observation()
+    positions.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{table.root}/{folder}")
+    removed = seen.get["rows"]
     if removed == 0:
         return base.version
-    return table.commit(base, "delete", None, keep=base.data, deletes=[*base.deletes, part], removed=removed)
-
-
-def replace_files(table: VersionedTable, operation: str, base: Snapshot, gone: DataFrame, rows: DataFrame) -> int:
-    """Swap the files in ``gone`` for a commit that holds ``rows``."""
-    keep = table.without_files(base, gone)
-    written = table.write_rows(rows, base.partition_by)
-    standing = table.file_lists([part.manifest for part in keep])
-    kept_rows = standing.agg(F.coalesce(F.sum("record_count"), F.lit(0))).first()[0]
-    positions = table.positions(base)
-    if positions is not None:
-        still = standing.select(F.col("path").alias("file_path"))
-        kept_rows -= positions.join(still, "file_path", "left_semi").count()
-    removed = int(base.summary["total-records"]) - kept_rows
-    return table.commit(base, operation, None, keep=keep, written=written, removed=removed)
+    return table.commit(base, "delete", deletes=[*base.deletes, folder], removed=removed)
+
+
+def replace_files(
+    table: VersionedTable, operation: str, base: Snapshot, gone: DataFrame, paths: list[str], rows: DataFrame,
+) -> int:
+    """Swap the files in ``gone`` (``paths`` on the driver) for a commit that holds ``rows``."""
+    if not paths:
+        return table.commit(base, operation, rows)
+    live = table.without_files(base, gone, paths)
+    return table.commit(base, operation, rows, live=live, removed=table.rows_in(base, gone, paths))
 
 
 def _all_set(columns: list[str]) -> Column:

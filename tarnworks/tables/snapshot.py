@@ -1,8 +1,9 @@
 """Snapshot headers: one small JSON file per table version.
 
-A header names the schema, the operation, summary counters and the parts the version is made of.
-A part is one manifest (a Parquet file list written by Spark) and, while every file of a commit is
-still live, the commit's folder, so that readers hand Spark one path instead of a long file list.
+A header names the schema, the operation, summary counters and the files the version is made of:
+the commit folders all of whose files are live, and one saved file list (Parquet, written by Spark)
+for commits of which only some files are. Whole folders keep headers short, and a reader hands
+Spark one path for them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from tarnworks.sources import filesystem as fs
 
-MANIFEST = T.StructType([
+FILE_LIST = T.StructType([
     T.StructField("path", T.StringType()),       # relative to the table root
     T.StructField("partition", T.StringType()),  # "day=2024-01-01", empty when unpartitioned
     T.StructField("record_count", T.LongType()),
@@ -29,12 +30,6 @@ class CommitConflict(RuntimeError):
     """Another writer committed this version first."""
 
 
-@dataclass
-class Part:
-    manifest: str
-    folders: list[str] | None = None  # set only when all files in them are live
-
-
 @dataclass
 class Snapshot:
     version: int
@@ -44,8 +39,9 @@ class Snapshot:
     operation: str
     schema: dict
     partition_by: list[str]
-    data: list[Part] = field(default_factory=list)
-    deletes: list[Part] = field(default_factory=list)
+    folders: list[str] = field(default_factory=list)  # commits that are wholly live
+    file_list: str | None = None  # live files of the other commits
+    deletes: list[str] = field(default_factory=list)  # folders of deleted positions
     summary: dict[str, str] = field(default_factory=dict)
     writers: dict[str, int] = field(default_factory=dict)
 
@@ -53,13 +49,6 @@ class Snapshot:
     def struct(self) -> T.StructType:
         return T.StructType.fromJson(self.schema)
 
-    @staticmethod
-    def load(text: str) -> Snapshot:
-        raw = json.loads(text)
-        for kind in ("data", "deletes"):
-            raw[kind] = [Part(**part) for part in raw[kind]]
-        return Snapshot(**raw)
-
 
 def new_snapshot_id() -> int:
     return uuid.uuid4().int >> 65
@@ -84,7 +73,7 @@ class SnapshotLog:
         return [int(name[:-5]) for name in names if name.endswith(".json")]
 
     def load(self, version: int) -> Snapshot:
-        return Snapshot.load(fs.read_text(self.spark, self._path(version)))
+        return Snapshot(**json.loads(fs.read_text(self.spark, self._path(version))))
 
     def latest(self) -> Snapshot | None:
         versions = self.versions()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 from tarnworks.functions.fixed_values import ORPHAN_AGE_DAYS
 from tarnworks.sources import filesystem as fs
 from tarnworks.tables.rowops import replace_files
-from tarnworks.tables.snapshot import MANIFEST, Part
-from tarnworks.tables.versioned import COMMIT_FOLDER, VersionedTable, relative, union_all
+from tarnworks.tables.snapshot import FILE_LIST, Snapshot
+from tarnworks.tables.versioned import COMMIT_FOLDER, VersionedTable, relative
 from tarnworks.workspace import stage
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -37,10 +38,11 @@ def compact(
     size = chosen.agg(F.count("*"), F.coalesce(F.sum("file_size_in_bytes"), F.lit(0))).first()
     if size[0] == 0 or (not rewrite_all and size[0] < min_input_files):
         return base.version
-    rows = table.scan(base, paths=[row[0] for row in chosen.select("path").toLocalIterator()])
+    paths = [row[0] for row in chosen.select("path").toLocalIterator()]
+    rows = table.scan(base, paths=paths)
     if not base.partition_by:
         rows = rows.coalesce(max(1, math.ceil(size[1] / target_bytes)))
-    return replace_files(table, "replace", base, chosen.select("path"), rows)
+    return replace_files(table, "replace", base, chosen.select("path"), paths, rows)
 
 
 def drop_dangling_deletes(table: VersionedTable) -> int:
@@ -51,12 +53,11 @@ def drop_dangling_deletes(table: VersionedTable) -> int:
         return base.version
     live = table.data_files(base).select(F.col("path").alias("file_path"))
     standing = stage(positions.join(live, "file_path", "left_semi"), "standing-deletes")
-    deletes: list[Part] = []
+    deletes: list[str] = []
     if not standing.isEmpty():
-        folder = f"deletes/commit={uuid.uuid4().hex}"
-        standing.write.parquet(f"{table.root}/{folder}")
-        deletes = [table.describe(folder)[0]]
-    return table.commit(base, "replace", None, keep=base.data, deletes=deletes)
+        deletes = [f"deletes/commit={uuid.uuid4().hex}"]
+        standing.write.parquet(f"{table.root}/{deletes[0]}")
+    return table.commit(base, "replace", deletes=deletes)
 
 
 def expire_snapshots(
@@ -75,19 +76,19 @@ def expire_snapshots(
     expired = [s for s in snapshots if s.version not in newest and s.committed_at < limit]
     kept = [s for s in snapshots if s not in expired]
     if not expired:
-        return table.spark.createDataFrame([], MANIFEST).select("path")
+        return table.spark.createDataFrame([], "path string")
 
-    old = _manifest_names(expired)
-    standing = _manifest_names(kept)
-    live = table.file_lists(standing).select("path")
-    dead = stage(table.file_lists(old).select("path").distinct().join(live, "path", "left_anti"), "expired-files")
+    dropped = sorted(_whole_folders(expired) - _whole_folders(kept))
+    lists = sorted(_file_lists(expired) - _file_lists(kept))
+    old = reduce(DataFrame.unionByName, [listing(table, dropped).select("path"), *_listed(table, lists)])
+    dead = stage(_unreferenced(table, old.distinct(), kept), "expired-files")
     if dry_run:
         return dead
     # headers first: once they are gone no reader can start on the files removed next
     for snapshot in expired:
         table.log.drop(snapshot.version)
-    _delete_files(table, dead, live)
-    for name in set(old) - set(standing):
+    _delete_files(table, dead, kept)
+    for name in lists:
         fs.delete(table.spark, f"{table.root}/{name}", recursive=True)
     return dead
 
@@ -101,29 +102,30 @@ def orphan_files(
     """Files under the table root that no retained version refers to and that are old enough."""
     if older_than < timedelta(days=ORPHAN_AGE_DAYS) and not dry_run:
         raise ValueError(f"refusing to remove files younger than {ORPHAN_AGE_DAYS} days")
-    present = union_all([listing(table, kind) for kind in ("data", "deletes")])
-    known = table.file_lists(_manifest_names(table.log.all())).select("path")
+    kept = table.log.all()
     limit = (now or datetime.now(timezone.utc)) - older_than
-    orphans = stage(
-        present.where(F.col("modified_at") < F.lit(limit)).join(known, "path", "left_anti"), "orphan-files",
-    )
+    present = listing(table, ["data", "deletes"]).where(F.col("modified_at") < F.lit(limit))
+    orphans = stage(_unreferenced(table, present, kept), "orphan-files")
     if not dry_run:
-        _delete_files(table, orphans.select("path"), known)
+        # one by one: a folder may also hold files too young to judge
+        for row in orphans.select("path").toLocalIterator():
+            fs.delete(table.spark, f"{table.root}/{row[0]}")
     return orphans
 
 
 LISTING = "path string, modified_at timestamp, file_size_in_bytes bigint"
 
 
-def listing(table: VersionedTable, kind: str = "data") -> DataFrame:
-    """Parquet files below a folder of the table; contents are not read."""
-    if not fs.exists(table.spark, f"{table.root}/{kind}"):
+def listing(table: VersionedTable, folders: list[str] = ["data"]) -> DataFrame:  # noqa: B006
+    """Parquet files below folders of the table; contents are not read."""
+    present = [f"{table.root}/{folder}" for folder in folders if fs.exists(table.spark, f"{table.root}/{folder}")]
+    if not present:
         return table.spark.createDataFrame([], LISTING)
     files = (
         table.spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(f"{table.root}/{kind}")
+        .load(present)
     )
     return files.select(
         relative(F.col("_metadata.file_path")).alias("path"),
@@ -132,14 +134,36 @@ def listing(table: VersionedTable, kind: str = "data") -> DataFrame:
     )
 
 
-def _manifest_names(snapshots) -> list[str]:
-    return sorted({part.manifest for s in snapshots for part in [*s.data, *s.deletes]})
+def _whole_folders(snapshots: list[Snapshot]) -> set[str]:
+    return {folder for s in snapshots for folder in [*s.folders, *s.deletes]}
+
+
+def _file_lists(snapshots: list[Snapshot]) -> set[str]:
+    return {s.file_list for s in snapshots if s.file_list}
+
+
+def _listed(table: VersionedTable, file_lists: list[str]) -> list[DataFrame]:
+    if not file_lists:
+        return []
+    names = [f"{table.root}/{name}" for name in file_lists]
+    return [table.spark.read.schema(FILE_LIST).parquet(*names).select("path")]
+
+
+def _unreferenced(table: VersionedTable, files: DataFrame, kept: list[Snapshot]) -> DataFrame:
+    """Files that no kept version refers to, neither singly nor with their whole folder."""
+    folders = table.spark.createDataFrame([(f,) for f in sorted(_whole_folders(kept))], "_folder string")
+    rest = files.join(folders, F.regexp_extract("path", COMMIT_FOLDER, 1) == F.col("_folder"), "left_anti")
+    for live in _listed(table, sorted(_file_lists(kept))):
+        rest = rest.join(live, "path", "left_anti")
+    return rest
 
 
-def _delete_files(table: VersionedTable, dead: DataFrame, live: DataFrame) -> None:
+def _delete_files(table: VersionedTable, dead: DataFrame, kept: list[Snapshot]) -> None:
     """Delete whole commit folders where nothing is live, single files elsewhere."""
     commit = F.regexp_extract("path", COMMIT_FOLDER, 1).alias("folder")
-    used = live.select(commit).distinct()
+    used = table.spark.createDataFrame([], "folder string")
+    for live in _listed(table, sorted(_file_lists(kept))):
+        used = live.select(commit).distinct()
     folders = dead.select(commit).distinct().join(used, "folder", "left_anti")
     single = dead.select("path", commit).join(used, "folder", "left_semi").select("path")
     for row in folders.toLocalIterator():

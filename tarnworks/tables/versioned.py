@@ -4,7 +4,7 @@ Layout under the table root::
 
     data/commit=<id>/[k=v/]*.parquet   rows
     deletes/commit=<id>/*.parquet      deleted positions (file_path, row_index)
-    meta/<id>/                         file lists
+    meta/<id>/                         file lists of partly live commits
     _log/<version>.json                snapshot headers
 
 Rows are only ever written by Spark jobs into a folder of their own; a version becomes visible
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnworks.sources import filesystem as fs
-from tarnworks.tables.snapshot import MANIFEST, Part, Snapshot, SnapshotLog, new_snapshot_id, now
+from tarnworks.tables.snapshot import FILE_LIST, Snapshot, SnapshotLog, new_snapshot_id, now
 
 FILE, ROW = "_file", "_row"
 POSITIONS = T.StructType([
@@ -34,9 +34,6 @@ POSITIONS = T.StructType([
 RELATIVE = r"((?:data|deletes)/commit=[0-9a-f]{32}/.*)$"
 COMMIT_FOLDER = r"^((?:data|deletes)/commit=[0-9a-f]{32})/"
 
-# File lists are merged into one when a version would refer to more than this many.
-MAX_PARTS = 32
-
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
@@ -90,7 +87,7 @@ class VersionedTable:
 
         touched = {row[0] for row in positions.select("file_path").distinct().toLocalIterator()}
         if paths is None:
-            paths = self._live_paths(snapshot, split={_commit_of(path) for path in touched})
+            paths = self._live_paths(snapshot, split={commit_of(path) for path in touched})
         dirty = [path for path in paths if path in touched]
         if not dirty:
             return self._files(snapshot, paths, located)
@@ -129,22 +126,17 @@ class VersionedTable:
 
         Only path names reach the driver, as for any Parquet reader.
         """
-        whole, listed = [], []
-        for part in snapshot.data:
-            if part.folders is not None and not split.intersection(part.folders):
-                whole += part.folders
-            else:
-                listed.append(part.manifest)
-        if listed:
-            whole += [row[0] for row in self.file_lists(listed).select("path").toLocalIterator()]
+        whole = [folder for folder in snapshot.folders if folder not in split]
+        single = self.list_files(snapshot.file_list, [folder for folder in snapshot.folders if folder in split])
+        if single is not None:
+            whole += [row[0] for row in single.select("path").toLocalIterator()]
         return whole
 
     def positions(self, snapshot: Snapshot) -> DataFrame | None:
         """Deleted positions of a snapshot; None when it has none."""
-        folders = [folder for part in snapshot.deletes for folder in part.folders]
-        if not folders:
+        if not snapshot.deletes:
             return None
-        return self.spark.read.schema(POSITIONS).parquet(*[f"{self.root}/{f}" for f in folders])
+        return self.spark.read.schema(POSITIONS).parquet(*[f"{self.root}/{f}" for f in snapshot.deletes])
 
     # ---- write --------------------------------------------------------------
 
@@ -152,7 +144,7 @@ class VersionedTable:
         """Replace all rows and the schema. Creates the table when it is not there."""
         base = self.log.latest()
         partition_by = base.partition_by if base else []
-        return self.commit(base, "overwrite", df, schema=_nullable(df.schema), keep=[], partition_by=partition_by)
+        return self.commit(base, "overwrite", df, schema=_nullable(df.schema), partition_by=partition_by)
 
     def append(self, df: DataFrame, writer: tuple[str, int] | None = None) -> int | None:
         """Add rows, matched by column name.
@@ -170,7 +162,7 @@ class VersionedTable:
         unknown = set(df.columns) - set(base.struct.names)
         if unknown:
             raise ValueError(f"columns not in the table: {sorted(unknown)}")
-        return self.commit(base, "append", df.select(*columns), keep=base.data, writer=writer)
+        return self.commit(base, "append", df.select(*columns), writer=writer)
 
     def add_column(self, name: str, data_type: T.DataType) -> int:
         """Widen the schema. No file is rewritten; old rows read NULL."""
@@ -178,111 +170,126 @@ class VersionedTable:
         if name in base.struct.names:
             raise ValueError(f"column {name} exists")
         schema = T.StructType([*base.struct.fields, T.StructField(name, data_type, True)])
-        return self.commit(base, "alter", None, schema=schema, keep=base.data)
+        return self.commit(base, "alter", schema=schema)
 
     def commit(
         self,
         base: Snapshot | None,
         operation: str,
-        rows: DataFrame | None,
-        keep: list[Part],
+        rows: DataFrame | None = None,
+        *,
         schema: T.StructType | None = None,
         partition_by: list[str] | None = None,
-        deletes: list[Part] | None = None,
+        live: tuple[list[str], str | None] | None = None,
+        deletes: list[str] | None = None,
         writer: tuple[str, int] | None = None,
-        written: tuple[Part, int, int] | None = None,
         removed: int = 0,
     ) -> int:
-        """Write ``rows`` (unless ``written`` already) and publish the next version.
+        """Write ``rows`` and publish the next version.
 
-        ``removed`` is the number of rows that the parts not kept and the new deletes took away.
+        ``live`` names the folders and the file list that stay; by default all do, or none when
+        overwriting. ``removed`` is the number of rows taken away with what does not stay.
         """
-        schema = schema or base.struct
-        partition_by = base.partition_by if partition_by is None else partition_by
+        fresh = base is None or operation == "overwrite"
+        folders, file_list = live or (([], None) if fresh else (base.folders, base.file_list))
         if deletes is None:
-            deletes = base.deletes if base and operation != "overwrite" else []
-        parts, added, added_files = list(keep), 0, 0
+            deletes = [] if fresh else base.deletes
+        partition_by = base.partition_by if partition_by is None else partition_by
+        added = 0
         if rows is not None:
-            written = self.write_rows(rows, partition_by)
-        if written:
-            part, added, added_files = written
-            parts.append(part)
-        if len(parts) > MAX_PARTS:
-            parts = [self._merged(parts)]
-        before = int(base.summary["total-records"]) if base and operation != "overwrite" else 0
-        summary = _summary(added, before + added - removed)
-        summary["added-data-files"] = str(added_files)
+            folder, added = self.write_rows(rows, partition_by)
+            folders = [*folders, folder]
+        before = 0 if fresh else int(base.summary["total-records"])
         writers = dict(base.writers) if base else {}
         if writer:
             writers[writer[0]] = writer[1]
         version = base.version + 1 if base else 0
         self.log.commit(Snapshot(
             version=version, snapshot_id=new_snapshot_id(), parent=base.version if base else None,
-            committed_at=now(), operation=operation, schema=schema.jsonValue(), partition_by=partition_by,
-            data=parts, deletes=deletes, summary=summary, writers=writers,
+            committed_at=now(), operation=operation, schema=(schema or base.struct).jsonValue(),
+            partition_by=partition_by, folders=folders, file_list=file_list, deletes=deletes,
+            summary=_summary(added, before + added - removed), writers=writers,
         ))
         return version
 
-    def write_rows(self, rows: DataFrame, partition_by: list[str]) -> tuple[Part, int, int]:
-        """Write a commit folder and its file list; return the part, its rows and its files."""
+    def write_rows(self, rows: DataFrame, partition_by: list[str]) -> tuple[str, int]:
+        """Write a commit folder; return it and its number of rows.
+
+        The rows are counted in the stage that writes them, where a retried task counts once.
+        """
         folder = f"data/commit={uuid.uuid4().hex}"
-        writer = rows.write
         if partition_by:
             # rebalance gathers each partition value and splits the ones that are too big for a task
-            writer = rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{folder}")
-        return self.describe(folder)
-
-    def describe(self, folder: str) -> tuple[Part, int, int]:
-        """List the files of a commit folder with their row counts, from Parquet footers."""
-        files = (
-            self.spark.read.schema("_none int")
-            .option("recursiveFileLookup", "true")
-            .parquet(f"{self.root}/{folder}")
-            .groupBy(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("bytes"))
-            .agg(F.count("*").alias("n"))
-        )
-        path = relative(F.col("uri"))
-        listed = files.select(
-            path.alias("path"),
-            F.regexp_extract(path, r"^data/commit=[0-9a-f]{32}/(.*?)/?[^/]*$", 1).alias("partition"),
-            F.col("n").alias("record_count"),
-            F.col("bytes").alias("file_size_in_bytes"),
-        )
+            rows = rows.hint("rebalance", *partition_by)
         seen = Observation()
-        counted = listed.observe(seen, F.sum("record_count").alias("rows"), F.count(F.lit(1)).alias("files"))
-        part = self.save_manifest(counted, [folder])
-        return part, seen.get["rows"] or 0, seen.get["files"]
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by).parquet(
+            f"{self.root}/{folder}"
+        )
+        return folder, seen.get["rows"]
 
-    def save_manifest(self, files: DataFrame, folders: list[str] | None) -> Part:
-        manifest = f"meta/{uuid.uuid4().hex}"
-        files.select(*MANIFEST.names).write.parquet(f"{self.root}/{manifest}")
-        return Part(manifest, folders)
+    # ---- file lists ---------------------------------------------------------
 
-    def _merged(self, parts: list[Part]) -> Part:
-        whole = all(part.folders is not None for part in parts)
-        folders = [folder for part in parts for folder in part.folders] if whole else None
-        return self.save_manifest(self.file_lists([part.manifest for part in parts]), folders)
+    def list_files(self, file_list: str | None, folders: list[str]) -> DataFrame | None:
+        """Files of a saved list and of whole folders, with sizes and row counts.
 
-    def without_files(self, snapshot: Snapshot, gone: DataFrame) -> list[Part]:
-        """Live files of a snapshot except those listed in ``gone`` (one column, ``path``)."""
-        left = self.data_files(snapshot).join(gone, "path", "left_anti")
-        return [self.save_manifest(left, None)]
+        Folders are listed by a Spark job; row counts come from the Parquet footers.
+        """
+        parts = []
+        if file_list:
+            parts.append(self.spark.read.schema(FILE_LIST).parquet(f"{self.root}/{file_list}"))
+        if folders:
+            files = (
+                self.spark.read.schema("_none int")
+                .option("recursiveFileLookup", "true")
+                .parquet(*[f"{self.root}/{folder}" for folder in folders])
+                .groupBy(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("bytes"))
+                .agg(F.count("*").alias("n"))
+            )
+            path = relative(F.col("uri"))
+            parts.append(files.select(
+                path.alias("path"),
+                F.regexp_extract(path, r"^data/commit=[0-9a-f]{32}/(.*?)/?[^/]*$", 1).alias("partition"),
+                F.col("n").alias("record_count"),
+                F.col("bytes").alias("file_size_in_bytes"),
+            ))
+        return reduce(DataFrame.unionByName, parts) if parts else None
 
-    # ---- metadata tables ----------------------------------------------------
+    def without_files(self, snapshot: Snapshot, gone: DataFrame, paths: list[str]) -> tuple[list[str], str | None]:
+        """What stays live without the files in ``gone`` (column ``path``; ``paths`` on the driver).
+
+        Folders that lose no file stay whole; the rest of the others goes into a new file list.
+        """
+        hit = {commit_of(path) for path in paths}
+        folders = [folder for folder in snapshot.folders if folder not in hit]
+        some = self.list_files(snapshot.file_list, [folder for folder in snapshot.folders if folder in hit])
+        if some is None:
+            return folders, None
+        file_list = f"meta/{uuid.uuid4().hex}"
+        some.join(gone, "path", "left_anti").write.parquet(f"{self.root}/{file_list}")
+        return folders, file_list
+
+    def rows_in(self, snapshot: Snapshot, gone: DataFrame, paths: list[str]) -> int:
+        """Visible rows of some live files."""
+        hit = {commit_of(path) for path in paths}
+        some = self.list_files(snapshot.file_list, [folder for folder in snapshot.folders if folder in hit])
+        count = some.join(gone, "path", "left_semi").agg(F.sum("record_count")).first()[0] or 0
+        positions = self.positions(snapshot)
+        if positions is not None:
+            dead = positions.join(gone.withColumnRenamed("path", "file_path"), "file_path", "left_semi")
+            count -= dead.count()
+        return count
 
-    def file_lists(self, names: list[str]) -> DataFrame:
-        if not names:
-            return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).parquet(*[f"{self.root}/{name}" for name in names])
+    # ---- metadata tables ----------------------------------------------------
 
     def data_files(self, snapshot: Snapshot | None = None) -> DataFrame:
         snapshot = snapshot or self.snapshot()
-        return self.file_lists([part.manifest for part in snapshot.data])
+        files = self.list_files(snapshot.file_list, snapshot.folders)
+        return self.spark.createDataFrame([], FILE_LIST) if files is None else files
 
     def delete_files(self, snapshot: Snapshot | None = None) -> DataFrame:
         snapshot = snapshot or self.snapshot()
-        return self.file_lists([part.manifest for part in snapshot.deletes])
+        files = self.list_files(None, snapshot.deletes)
+        return self.spark.createDataFrame([], FILE_LIST) if files is None else files
 
     def partitions(self, snapshot: Snapshot | None = None) -> DataFrame:
         return self.data_files(snapshot).groupBy("partition").agg(
@@ -307,7 +314,7 @@ def relative(uri: Column) -> Column:
     return F.url_decode(F.replace(F.regexp_extract(uri, RELATIVE, 1), F.lit("+"), F.lit("%2B")))
 
 
-def _commit_of(path: str) -> str:
+def commit_of(path: str) -> str:
     return "/".join(path.split("/")[:2])
 
 
@@ -317,7 +324,3 @@ def _summary(added: int, total: int) -> dict[str, str]:
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

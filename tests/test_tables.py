@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tarnworks.sources import filesystem as fs
 from tarnworks.tables import days, rowops, upkeep
 from tarnworks.tables.snapshot import CommitConflict
-from tarnworks.tables.versioned import MAX_PARTS, VersionedTable
+from tarnworks.tables.versioned import VersionedTable
 
 FUTURE = datetime(2100, 1, 1, tzinfo=timezone.utc)
 
@@ -78,7 +78,7 @@ def test_lost_race_raises(spark, folder):
     table = letters(spark, folder())
     stale = table.snapshot(version=3)
     with pytest.raises(CommitConflict):
-        table.commit(stale, "append", spark.createDataFrame([(5, "e")], "id bigint, v string"), keep=stale.data)
+        table.commit(stale, "append", spark.createDataFrame([(5, "e")], "id bigint, v string"), live=(stale.folders, None))
     assert table.read().count() == 4
 
 
@@ -91,13 +91,13 @@ def test_replayed_batch_is_skipped(spark, folder):
     assert table.append(batch, writer=("q", 1)) == 3
 
 
-def test_many_commits_merge_their_file_lists(spark, folder):
-    table = table_of(spark, folder())
-    row = spark.createDataFrame([(1, "a")], "id bigint, v string").coalesce(1)
-    for _ in range(MAX_PARTS + 2):
-        table.append(row)
-    assert len(table.snapshot().data) <= MAX_PARTS
-    assert table.read().count() == table.data_files().count() == MAX_PARTS + 2
+def test_whole_commits_are_read_as_folders(spark, folder):
+    table = letters(spark, folder())
+    assert len(table.snapshot().folders) == 4 and table.snapshot().file_list is None
+    rowops.delete_copy_on_write(table, F.col("id") == 2)
+    changed = table.snapshot()
+    assert len(changed.folders) == 4 and changed.file_list  # three untouched commits and the new one
+    assert rows(table.read()) == [(1, "a"), (3, "c"), (4, "d")]
 
 
 def test_partition_values_with_odd_characters(spark, folder):
@@ -215,7 +215,7 @@ def test_delete_repair_sequence(spark, folder):
     dropped = upkeep.expire_snapshots(table, FUTURE, retain_last=1, dry_run=False)
     assert dropped.count() > 0 and table.log.versions() == [table.snapshot().version]
     assert rows(table.read()) == [(1, "a"), (3, "c"), (4, "d")] and total(table) == 3
-    on_disk = upkeep.listing(table, "data").union(upkeep.listing(table, "deletes"))
+    on_disk = upkeep.listing(table, ["data", "deletes"])
     assert rows(on_disk.select("path")) == rows(table.data_files().select("path"))
 
 
