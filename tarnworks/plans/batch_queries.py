@@ -74,7 +74,7 @@ def reconcile_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     late_returns = (F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    return files.scan(spark, f"{sf_dir}/lineitem.parquet", ["l_orderkey", "l_quantity"], late_returns)
+    return files.scan(inputs.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_quantity"], late_returns)
 
 
 def scan_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:

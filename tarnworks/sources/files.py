@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scan(spark: SparkSession, path: str, columns: list[str], row_filter: Column | None = None) -> DataFrame:
-    """Filtered projection; filter and columns reach the Parquet reader."""
-    rows = spark.read.parquet(path)
+def scan(rows: DataFrame, columns: list[str], row_filter: Column | None = None) -> DataFrame:
+    """Filtered projection of stored rows; filter and columns reach the Parquet reader."""
     if row_filter is not None:
         rows = rows.where(row_filter)
     return rows.select(*columns)

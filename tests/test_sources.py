@@ -49,7 +49,7 @@ def test_empty_table_is_read(spark, source):
 def test_scan_pushes_filter_and_columns(spark, sf_dir):
     from pyspark.sql import functions as F
 
-    df = files.scan(spark, f"{sf_dir}/lineitem.parquet", ["l_orderkey"], F.col("l_returnflag") == "R")
+    df = files.scan(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey"], F.col("l_returnflag") == "R")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,R)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan
