@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from tarnworks.plans import inputs
 from tarnworks.sources.jdbc import JdbcSource, write_table
+from tarnworks.workspace import one_process
 
 SETTING = "spark.tarnworks.jdbc."
 SALES_TABLE = "sales"
@@ -34,7 +35,7 @@ def configured_source(spark: SparkSession) -> JdbcSource | None:
 
 
 def embedded_source(spark: SparkSession) -> JdbcSource:
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_process(spark):
         raise RuntimeError(f"set {SETTING}url: the embedded database is visible to one process only")
     folder = tempfile.mkdtemp(prefix="run-")
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", f"{folder}/derby.log")

@@ -294,7 +294,7 @@ def table_partitions(spark, sf_dir):
 
 def _lake(spark, sf_dir) -> medallion.Lake:
     lake = medallion.Lake(spark, fresh_dir(spark, "lake"))
-    medallion.run(lake, inputs.sales(spark, sf_dir), events_table(spark, sf_dir), inputs.loaded_at())
+    medallion.run(lake, inputs.spread_sales(spark, sf_dir), events_table(spark, sf_dir), inputs.loaded_at())
     return lake
 
 

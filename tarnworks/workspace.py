@@ -19,15 +19,20 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not one_process(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
+    app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="run-")
     return _LOCAL_ROOTS[app]
 
 
+def one_process(spark: SparkSession) -> bool:
+    """Driver and executors are the same process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has written to yet. It outlives the call: lazy results may still read it."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
