@@ -143,7 +143,7 @@ class VersionedTable:
     def overwrite(self, df: DataFrame) -> int:
         """Replace all rows and the schema. Creates the table when it is not there."""
         base = self.log.latest()
-        partition_by = base.partition_by if base else []
+        partition_by = [name for name in base.partition_by if name in df.columns] if base else []
         return self.commit(base, "overwrite", df, schema=_nullable(df.schema), partition_by=partition_by)
 
     def append(self, df: DataFrame, writer: tuple[str, int] | None = None) -> int | None:
