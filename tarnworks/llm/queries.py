@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import jump_shards, ngram_trie, simhash
+from tarnworks.llm import jump_shards, ngram_trie, packing, simhash, token_store
 
 LLM_QUERIES = {
     "op2_jump_shards": jump_shards.query,
+    "op5_token_store": token_store.query,
+    "op6_best_fit_packing": packing.query,
     "op8_simhash_ball": simhash.query,
     "op10_ngram_trie": ngram_trie.query,
 }
