@@ -93,9 +93,8 @@ class Sequence:
         return out
 
     def successor(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first element not below each value, and whether it equals the value. The place is
-        exact within the value's bucket of high bits; a missing value gets some place in or behind it."""
-        place = np.zeros(len(values), dtype=np.int64)
+        """Place of the first element not below each value, and whether it equals the value."""
+        place = np.full(len(values), self.n, dtype=np.int64)
         equal = np.zeros(len(values), dtype=bool)
         if not self.n:
             return place, equal
@@ -103,25 +102,25 @@ class Sequence:
         for start in range(0, len(values), _AT_ONCE):
             part = values[start : start + _AT_ONCE].astype(np.uint64)
             high = (part >> np.uint64(self.bits)).astype(np.int64)
-            inside = high < last  # high parts beyond the vector exceed every element
-            at = np.zeros(len(part), dtype=np.int64)
-            later = inside & (high > 0)
-            at[later] = self._select(high[later] - 1, self.zeros, True) + 1
-            index = at - high
-            low = part & np.uint64((1 << self.bits) - 1)
-            open_ = np.flatnonzero(inside)
-            found = np.zeros(len(part), dtype=bool)
+            inside = np.flatnonzero(high < last)  # high parts beyond the vector exceed every element
+            high, low = high[inside], (part & np.uint64((1 << self.bits) - 1))[inside]
+            begin = np.zeros(len(high), dtype=np.int64)
+            later = high > 0
+            begin[later] = self._select(high[later] - 1, self.zeros, True) + 1 - high[later]
+            end = np.minimum(self._select(high, self.zeros, True) - high, self.n)
+            # inside the bucket the low bits are in order; a crowded context can fill a bucket, so halve it
+            left, right = begin, end.copy()
+            open_ = np.flatnonzero(left < right)
             while len(open_):
-                spot = at[open_]
-                set_ = ((self.high[spot >> 6] >> (spot & 63).astype(np.uint64)) & _U1).astype(bool)
-                open_ = open_[set_]
-                here = self._low_at(index[open_])
-                found[open_[here == low[open_]]] = True
-                open_ = open_[here < low[open_]]
-                at[open_] += 1
-                index[open_] += 1
-            place[start : start + _AT_ONCE] = np.where(inside, index, self.n)
-            equal[start : start + _AT_ONCE] = found
+                middle = (left[open_] + right[open_]) >> 1
+                below = self._low_at(middle) < low[open_]
+                left[open_[below]] = middle[below] + 1
+                right[open_[~below]] = middle[~below]
+                open_ = open_[left[open_] < right[open_]]
+            there = np.flatnonzero(left < end)
+            same = there[self._low_at(left[there]) == low[there]]
+            place[start + inside] = left
+            equal[start + inside[same]] = True
         return place, equal
 
 
