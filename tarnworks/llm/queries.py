@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import jump_shards, ngram_trie, packing, simhash, token_store
+from tarnworks.llm import balltree, flat_graph, jump_shards, language, mixing, ngram_trie, packing, quality, simhash, token_store
 
 LLM_QUERIES = {
+    "op1_rake_mixing": mixing.query,
     "op2_jump_shards": jump_shards.query,
+    "op3_subword_quality": quality.query,
+    "op4_ball_tree_topk": balltree.query,
     "op5_token_store": token_store.query,
     "op6_best_fit_packing": packing.query,
+    "op7_language_id": language.query,
     "op8_simhash_ball": simhash.query,
+    "op9_flat_graph_dedup": flat_graph.query,
     "op10_ngram_trie": ngram_trie.query,
 }
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {"op4_ball_tree_topk": balltree.ORACLE}

@@ -60,16 +60,12 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(ones * 2 > len(pieces), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
-    """(key, fp): the fingerprint of every whole text as a signed long."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            prints = np.array([fingerprint(t, width) for t in batch["body"]], dtype=np.uint64)
-            yield pd.DataFrame({key: batch["id"], "fp": prints.view(np.int64)})
-
-    schema = df.select(F.col(key).alias(key), F.lit(0).cast("bigint").alias("fp")).schema
-    return df.select(F.col(key).alias("id"), F.col(text).alias("body")).mapInPandas(run, schema)
+@F.pandas_udf("bigint")
+def printed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The fingerprint of a whole text as a signed long."""
+    for texts in batches:
+        prints = np.fromiter((fingerprint(t) for t in texts), dtype=np.uint64, count=len(texts))
+        yield pd.Series(prints.view(np.int64))
 
 
 def _mask(block: tuple[int, int]) -> np.uint64:
@@ -205,20 +201,45 @@ def links(distinct: DataFrame, scratch: Scratch) -> DataFrame:
     return edges.unionByName(scratch.stage(starred.distinct(), "starred"))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
-    """(key, fingerprint, component_id): component_id is the smallest key reachable over links."""
-    scratch = Scratch(df.sparkSession, "simhash")
-    printed = scratch.stage(fingerprints(df, key, text, width), "prints")
-    classes = scratch.stage(printed.groupBy("fp").agg(F.min(key).alias("least")), "classes")
+def _grouped(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows: (id, fp), staged. Adds ``first``, the smallest id reachable over links."""
+    classes = scratch.stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     roots = components(links(classes.select("fp"), scratch), scratch)
     labelled = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = scratch.stage(labelled.join(named, "root").select("fp", "component_id"), "by-class")
-    return printed.join(by_class, "fp").select(
-        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    named = labelled.groupBy("root").agg(F.min("least").alias("first"))
+    by_class = scratch.stage(labelled.join(named, "root").select("fp", "first"), "by-class")
+    return rows.join(by_class, "fp")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, fingerprint, component_id): component_id is the smallest key reachable over links."""
+    scratch = Scratch(df.sparkSession, "simhash")
+    rows = scratch.stage(df.select(F.col(key).alias("id"), printed(F.col(text)).alias("fp")), "prints")
+    return _grouped(rows, scratch).select(
+        F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
+    )
+
+
+def keep(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, columns unchanged: the one with the smallest key, NULL first, then with the
+    smallest hash of key and text; of rows equal in both, any one."""
+    scratch = Scratch(df.sparkSession, "simhash-keep")
+    rows = df.withColumn("__row", F.xxhash64(key, text))
+    prints = scratch.stage(rows.select(F.struct(key, "__row").alias("id"), printed(F.col(text)).alias("fp")), "prints")
+    others = scratch.stage(
+        _grouped(prints, scratch).where("id <> first").select(F.col("id.__row").alias("__row")).distinct(), "others"
+    )
+    repeated = scratch.stage(
+        prints.groupBy(F.col("id.__row").alias("__row")).count().where("count > 1").select("__row")
+        .join(others, "__row", "left_anti"), "repeated"
     )
+    first = rows.join(others, "__row", "left_anti")
+    once = first.join(repeated, "__row", "left_anti")
+    again = first.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    kept = once if repeated.isEmpty() else once.unionByName(again)
+    return kept.select(*df.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
