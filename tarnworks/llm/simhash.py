@@ -24,6 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tarnworks.llm.components import components
 from tarnworks.llm.scratch import Scratch, read_table
@@ -60,7 +61,7 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(ones * 2 > len(pieces), bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def printed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The fingerprint of a whole text as a signed long."""
     for texts in batches:
