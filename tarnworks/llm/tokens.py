@@ -1,19 +1,23 @@
 """Token ids of whole texts by a public tokenizer, encoded once for each distinct stretch.
 
 Both vocabularies split a text at ASCII white space before they merge anything, so a text's ids are its
-stretches' ids in a row. A stretch met before in the task is looked up; new ones are encoded together. The
-memory is bounded; a full one is emptied. Texts where the rule might not hold are encoded whole.
+stretches' ids in a row. A stretch met before in the task is looked up. A new one that is a plain word, perhaps with
+ASCII marks behind it, is split in just that place by either tokenizer, so its word goes straight to the library's
+merge model; any other is encoded in full. The memory is bounded; a full one is emptied. Texts with other white
+space, where the rule might not hold, are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
-KNOWN_STRETCHES = 150_000
+KNOWN_STRETCHES = 600_000
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which begins contractions
 _SPACE = rb"[ \t\n\x0b\x0c\r]"
 # a run of white space is one stretch but for its last character, which goes with the next word if a space
 _WITH_SPACES = re.compile(rb" ?[^ \t\n\x0b\x0c\r]+|" + _SPACE + rb"+(?![^ \t\n\x0b\x0c\r])|" + _SPACE)
@@ -21,6 +25,13 @@ _WITH_SPACES = re.compile(rb" ?[^ \t\n\x0b\x0c\r]+|" + _SPACE + rb"+(?![^ \t\n\x
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The tokenizers' letter for each byte: printable Latin-1 stands for itself, the rest for letters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [byte for byte in range(256) if byte not in plain]
+    return {byte: 256 + place for place, byte in enumerate(others)}
+
+
 class Encoder:
     """ids(texts): for each text its ids as little-endian unsigned 32-bit integers."""
 
@@ -31,7 +42,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         self.split: Callable[[bytes], list[bytes]] = _WITH_SPACES.findall if keeps_spaces else bytes.split
+        self.lowers = not keeps_spaces
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.space = chr(self.letters[ord(" ")])
         self.known: dict[bytes, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+
+    def _word(self, stretch: str) -> bytes | None:
+        """Ids of a stretch that is a word and marks; None for any other."""
+        word = stretch.rstrip(_MARKS)
+        bare = word if self.lowers else word.removeprefix(" ")
+        # below U+0250 letters are composed already and lower-case one to one, but for U+0130
+        if not bare.isalpha() or (self.lowers and not bare.isascii() and (max(bare) >= "\u0250" or "\u0130" in bare)):
+            return None
+        tail = stretch[len(word) :]
+        if tail not in self.tails:
+            self.tails[tail] = self._encode([tail])[0]
+        if self.lowers:
+            word = word.lower()
+        if bare.isascii():  # printable letters stand for themselves; only the space has another
+            spelt = word if word[0] != " " else self.space + bare
+        else:
+            spelt = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes() + self.tails[tail]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -42,9 +75,14 @@ class Encoder:
         if len(self.known) > KNOWN_STRETCHES:
             self.known.clear()
         new = list(set().union(*stretches).difference(self.known)) if stretches else []
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            self.known.update(zip(part, self._encode([p.decode("utf-8") for p in part])))
+        decoded = [piece.decode("utf-8") for piece in new]
+        encoded = list(map(self._word, decoded))
+        rest = [i for i, ids in enumerate(encoded) if ids is None]
+        for start in range(0, len(rest), 20_000):
+            part = rest[start : start + 20_000]
+            for i, ids in zip(part, self._encode([decoded[i] for i in part])):
+                encoded[i] = ids
+        self.known.update(zip(new, encoded))
         out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in stretches]
         for i in whole:
             out[i] = self._encode([texts[i]])[0]
