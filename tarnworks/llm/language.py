@@ -6,7 +6,7 @@ For every language l the posterior is proportional to
 
 * Text: naive Bayes over hashed character trigrams of words. Trigrams of one text aren't independent, so the mean
   log-likelihood counts as ``TEXT_WEIGHT`` trigrams at most. The model learns from a bounded sample of rows, ``SAMPLE_ROWS``
-  for each declared language (those with the smallest hash of their text), with add-half smoothing.
+  for each declared language (those with the smallest hashes), with add-half smoothing.
 * Declared language and address suffix: right with a given trust; the rest is spread evenly.
 * Host: expected languages of all its texts, smoothed towards its domain's, that towards its suffix's, that towards
   the whole table's. All four levels are grouped sums over the whole table.
@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnworks.llm.scratch import Scratch, read_table
+from tarnworks.llm.subwords import hashed_ngrams
 
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 500
@@ -38,21 +38,21 @@ DECLARED_TRUST = 0.8
 SUFFIX_TRUST = 0.6
 HOST_WEIGHT = 20.0
 CONFIDENCE = 0.5
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
+TEXTS_AT_ONCE = 500
 # Country suffixes whose language has another code; a suffix equal to a code needs no entry.
 SUFFIX_LANGUAGES = {"at": "de", "uk": "en", "us": "en", "au": "en", "ie": "en", "mx": "es", "ar": "es", "co": "es"}
 
 
-def trigrams(word: str) -> list[int]:
-    marked = f"<{word}>"
-    digest = xxhash.xxh32_intdigest
-    return [digest(marked[i : i + 3].encode("utf-8", "surrogatepass"), 11) % BUCKETS for i in range(len(marked) - 2)]
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, bucket) of the words' character trigrams."""
+    return hashed_ngrams(words, (3,), BUCKETS, whole=False)
 
 
 def spoken(text: str | None) -> list[str]:
     """Words that hold a letter, without the marks around them."""
     stripped = (w.strip(".,;:!?()[]{}\"'|#*%&$") for w in (text or "").lower().split())
-    return [w for w in stripped if w and any(map(str.isalpha, w))]
+    return [w for w in stripped if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def _languages(rows: DataFrame) -> DataFrame:
@@ -63,23 +63,31 @@ def _languages(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for language, body in zip(batch["language"], batch["body"]):
                 row = counts.setdefault(language, np.zeros(BUCKETS, dtype=np.int64))
-                for word, n in Counter(spoken(body)).items():
-                    np.add.at(row, trigrams(word), n)
+                times = Counter(spoken(body))
+                owner, bucket = trigrams(list(times))
+                np.add.at(row, bucket, np.fromiter(times.values(), np.int64, len(times))[owner])
         for language, row in counts.items():
             used = np.flatnonzero(row)
             yield pd.DataFrame({"language": language, "bucket": used, "n": row[used]})
 
-    first = Window.partitionBy("language").orderBy("__order", "body")
+    declared = rows.where("language is not null")
+    sizes = {r["language"]: r["count"] for r in declared.groupBy("language").count().collect()}  # one row a language
+    if not sizes:
+        return rows.sparkSession.createDataFrame([], "language string, bucket int, n bigint")
+    # first thin each language to about four samples by its size, so that few rows meet in the ranking
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 4 * SAMPLE_ROWS / n))]), F.col("language"))
+    thin = F.shiftrightunsigned("order", 11).cast("double") / F.lit(float(1 << 53)) < share
+    first = Window.partitionBy("language").orderBy("order", "body")
     sample = (
-        rows.select("language", "body", F.xxhash64("body").alias("__order")).where("language is not null")
-        .withColumn("__rank", F.row_number().over(first)).where(F.col("__rank") <= SAMPLE_ROWS).select("language", "body")
+        declared.where(thin).withColumn("__rank", F.row_number().over(first)).where(F.col("__rank") <= SAMPLE_ROWS)
+        .select("language", "body")
     )
     counted = sample.mapInPandas(count, "language string, bucket int, n bigint")
     return counted.groupBy("language", "bucket").agg(F.sum("n").alias("n"))
 
 
 def fit(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """rows: (language, body). Languages in order and their log-probabilities of each bucket."""
+    """rows: (language, body, order), order a hash that picks the sample. Languages in order and their log-probabilities of each bucket."""
     counts = _languages(rows).toPandas()  # languages times BUCKETS numbers at most
     languages = sorted(set(counts["language"]))
     table = np.full((len(languages), BUCKETS), 0.5)
@@ -95,21 +103,27 @@ def log_likelihoods(logs: np.ndarray):
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = np.frombuffer(sent, dtype=np.float32).reshape(shape)
-        known: dict[str, tuple[np.ndarray, int]] = {}
+        known: dict[str, tuple[int, int]] = {}
+        sums = np.empty((0, shape[1]))
         for texts in batches:
             out = []
-            for text in texts:
-                total, n = np.zeros(shape[1]), 0
-                for word, times in Counter(spoken(text)).items():
-                    if word not in known:
-                        if len(known) > KNOWN_WORDS:
-                            known.clear()
-                        grams = trigrams(word)
-                        known[word] = table[grams].sum(axis=0, dtype=np.float64), len(grams)
-                    value, count = known[word]
-                    total += value * times
-                    n += count * times
-                out.append(total / n * min(n, TEXT_WEIGHT) if n else None)
+            split = [spoken(text) for text in texts]
+            for start in range(0, len(split), TEXTS_AT_ONCE):
+                group = split[start : start + TEXTS_AT_ONCE]
+                if len(known) > KNOWN_WORDS:
+                    known, sums = {}, np.empty((0, shape[1]))
+                new = list(set().union(*group).difference(known))
+                owner, bucket = trigrams(new)
+                added = np.stack([np.bincount(owner, weights=table[bucket, k], minlength=len(new)) for k in range(shape[1])], axis=1)
+                known.update(zip(new, zip(range(len(sums), len(sums) + len(new)), np.bincount(owner, minlength=len(new)).tolist())))
+                sums = np.concatenate([sums, added])
+                for words in group:
+                    if not words:
+                        out.append(None)
+                        continue
+                    places, counts = zip(*map(known.__getitem__, words))
+                    n = sum(counts)
+                    out.append(sums[list(places)].sum(axis=0) / n * min(n, TEXT_WEIGHT))
             yield pd.Series(out, dtype=object)
 
     return score
@@ -160,7 +174,7 @@ def identify(
     """
     claim = F.lower(F.col(declared)) if declared else F.lit(None).cast("string")
     place = F.lower(F.col(host)) if host else (host_of(F.col(address)) if address else F.lit(None).cast("string"))
-    languages, logs = fit(df.select(claim.alias("language"), F.col(text).alias("body")))
+    languages, logs = fit(df.select(claim.alias("language"), F.col(text).alias("body"), row_digest(df).alias("order")))
     k = len(languages)
     if not k:
         return df.select(*keys, F.lit("und").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))

@@ -21,11 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.llm.scratch import read_table
+from tarnworks.llm.subwords import hashed_ngrams
 
 BUCKETS = 1 << 17
 DIMENSIONS = 16
@@ -35,17 +35,16 @@ EPOCHS = 8
 LEARNING_RATE = 0.5
 FOLD, FOLDS = 0, 5
 THRESHOLD = 0.3
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 600_000
+TEXTS_AT_ONCE = 500
 REPEAT_BUCKET = 0  # words hash to the others
 REPEAT_WEIGHT = 16
 
 
-def buckets_of(word: str) -> list[int]:
-    """Buckets of a word and its character n-grams; marks stand for the word's ends."""
-    marked = f"<{word}>"
-    parts = [marked] + [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    digest = xxhash.xxh32_intdigest
-    return [digest(p.encode("utf-8", "surrogatepass"), 7) % (BUCKETS - 1) + 1 for p in parts]
+def buckets_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, bucket) of the words and their character n-grams."""
+    owner, bucket = hashed_ngrams(words, GRAMS, BUCKETS - 1, whole=True)
+    return owner, bucket + 1
 
 
 def repeats(words: list[str]) -> int:
@@ -55,14 +54,13 @@ def repeats(words: list[str]) -> int:
 
 def features(text: str | None) -> tuple[list[int], list[int]]:
     """Distinct buckets of a whole text with their counts."""
-    counts: Counter[int] = Counter()
     words = (text or "").split()
-    for word, n in Counter(words).items():
-        for bucket in buckets_of(word):
-            counts[bucket] += n
-    if again := repeats(words):
-        counts[REPEAT_BUCKET] = again
-    return list(counts), list(counts.values())
+    times = Counter(words)
+    owner, bucket = buckets_of(list(times))
+    weights = np.bincount(bucket, weights=np.fromiter(times.values(), np.int64, len(times))[owner], minlength=BUCKETS)
+    weights[REPEAT_BUCKET] = repeats(words)
+    used = np.flatnonzero(weights)
+    return used.tolist(), weights[used].astype(np.int64).tolist()
 
 
 def train(documents: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 1) -> tuple[np.ndarray, float]:
@@ -142,26 +140,24 @@ def scorer(weights: np.ndarray, bias: float):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = np.frombuffer(sent, dtype=np.float32).astype(np.float64)
         known: dict[str, tuple[float, int]] = {}
-
-        def of(word: str) -> tuple[float, int]:
-            buckets = buckets_of(word)
-            return float(table[buckets].sum()), len(buckets)
-
         for texts in batches:
             out = np.empty(len(texts))
-            for i, text in enumerate(texts):
-                words = (text or "").split()
-                n = repeats(words)
-                total = n * float(table[REPEAT_BUCKET])
-                for word, times in Counter(words).items():
-                    if word not in known:
-                        if len(known) > KNOWN_WORDS:
-                            known.clear()
-                        known[word] = of(word)
-                    value, count = known[word]
-                    total += value * times
-                    n += count * times
-                out[i] = bias + (total / n if n else 0.0)
+            split = [(text or "").split() for text in texts]
+            for start in range(0, len(split), TEXTS_AT_ONCE):
+                group = split[start : start + TEXTS_AT_ONCE]
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                new = list(set().union(*group).difference(known))
+                owner, bucket = buckets_of(new)
+                values = np.bincount(owner, weights=table[bucket], minlength=len(new))
+                known.update(zip(new, zip(values.tolist(), np.bincount(owner, minlength=len(new)).tolist())))
+                for i, words in enumerate(group, start=start):
+                    n = repeats(words)
+                    total = n * float(table[REPEAT_BUCKET])
+                    for value, count in map(known.__getitem__, words):
+                        total += value
+                        n += count
+                    out[i] = bias + (total / n if n else 0.0)
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -500, 500))))
 
     return score

@@ -27,7 +27,7 @@ def test_language_of_documents(spark, documents):
 
 
 def test_text_alone_is_enough(spark, documents):
-    languages, logs = language.fit(documents.where("doc_id % 3 <> 0").select(F.col("lang").alias("language"), F.col("text").alias("body")))
+    languages, logs = language.fit(documents.where("doc_id % 3 <> 0").select(F.col("lang").alias("language"), F.col("text").alias("body"), F.xxhash64("doc_id").alias("order")))
     rest = documents.where("doc_id % 3 = 0").select("lang", language.log_likelihoods(logs)(F.col("text")).alias("l")).collect()
     assert np.mean([languages[int(np.argmax(r["l"]))] == r["lang"] for r in rest if r["l"]]) > 0.98
 
