@@ -24,16 +24,6 @@ def replicated_counts(df: DataFrame, segments: int) -> DataFrame:
     return df.agg(F.count("*").alias("rows_cnt")).select(every.alias("segment"), "rows_cnt")
 
 
-def replicate(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only when it is proven to hold at most ``max_rows`` rows.
-
-    Larger inputs come back unmarked and join by shuffle.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def in_serving_order(df: DataFrame, schema, order: list[str]) -> DataFrame:
     """Cast to the serving schema and lay rows out by the order key.
 

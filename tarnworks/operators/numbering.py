@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tarnworks.workspace import stage
 
-# Groups up to this many rows are ranked by an ordinary window.
-LARGE_GROUP_ROWS = 1_000_000
-
 _ORDINAL_BITS = 33
 
 
@@ -65,31 +62,7 @@ def number_within(
     return numbered.select(*[c for c in df.columns if c != "_tie"], name)
 
 
-def rank_rows(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    name: str = "rn",
-    large_group_rows: int = LARGE_GROUP_ROWS,
-) -> DataFrame:
-    """``row_number() OVER (PARTITION BY keys ORDER BY order)`` that survives oversized groups.
-
-    Ordinary groups take the window. Groups above ``large_group_rows`` are split by
-    :func:`number_within`. The list of such groups has at most rows / large_group_rows entries.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    large = stage(
-        df.groupBy(*keys).count().where(F.col("count") > large_group_rows)
-        .select(*[F.col(key).alias(f"_large_{key}") for key in keys]),
-        "large-groups",
-    )
-    if large.isEmpty():
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_large_{key}"))
-    ordinary = df.join(large, same, "left_anti")
-    oversized = df.join(large, same, "left_semi")
-    ranked = ordinary.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return ranked.unionByName(number_within(oversized, keys, order, name))
+def rank_rows(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order)``, one plan for groups of any size: the input is
+    evaluated once, ranges split large groups, and a place in the range gives the rank."""
+    return number_within(df, keys, order, name)

@@ -79,7 +79,8 @@ def scan_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = operational_db.sales_source(spark, sf_dir)
-    rows = jdbc.read_table(spark, source, operational_db.SALES_TABLE, partition_column="id", partitions=SEGMENTS)
+    rows = jdbc.read_table(spark, source, operational_db.SALES_TABLE, partition_column="id",
+                           partitions=spark.sparkContext.defaultParallelism)
     return lower_names(rows)
 
 

@@ -11,7 +11,6 @@ from tarnworks.sources.topic import Topic, produce
 from tarnworks.workspace import fresh_dir
 
 PARTITIONS = 3
-_FILLED: dict[tuple[str, str], Topic] = {}
 
 
 def messages(events: DataFrame, keyed: bool = True, placed: bool = True) -> DataFrame:
@@ -36,10 +35,7 @@ def deliver(spark: SparkSession, sf_dir: str, topic: Topic, keep: Column | None
 
 
 def filled_topic(spark: SparkSession, sf_dir: str) -> Topic:
-    """A topic with all events; filled once per session, read by many."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FILLED:
-        topic = new_topic(spark)
-        deliver(spark, sf_dir, topic)
-        _FILLED[key] = topic
-    return _FILLED[key]
+    """A topic with all events."""
+    topic = new_topic(spark)
+    deliver(spark, sf_dir, topic)
+    return topic

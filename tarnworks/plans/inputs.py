@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tarnworks.functions.fixed_values import RELATIONAL_SOURCE, STREAM_SOURCE
 from tarnworks.operators.conform import with_lineage
-from tarnworks.workspace import spread
 
 LOADED_AT = "2025-01-01 00:00:00"
 
@@ -17,28 +15,18 @@ def loaded_at():
     return F.lit(LOADED_AT).cast("timestamp")
 
 
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A dataset table; its schema is taken from the files once per session, which saves a job."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCHEMAS:
-        _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
-
+    """A dataset table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-ITEM_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
 
-
-def sales(spark: SparkSession, sf_dir: str, item: DataFrame | None = None) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The relational source: one sale per line item.
 
     Each lookup joins directly as a table scan, so Spark knows its size: it is broadcast while
     that stays under the threshold and shuffled, with skew splitting, beyond it.
     """
-    item = table(spark, sf_dir, "lineitem") if item is None else item
+    item = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -62,7 +50,7 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event stream as typed rows, with NULLs, repeated ids and bad amounts mixed in."""
     n = F.col("event_id")
     return table(spark, sf_dir, "events").select(
-        F.when(n % 101 != 0, (n % 4000).cast("int")).alias("id"),
+        F.when(n % 101 != 0, (n - n % 3).try_cast("int")).alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(n % 97 != 0, F.upper("event_type")).alias("region"),
         F.concat(F.lit("p"), (F.col("user_id") % 4).cast("string")).alias("product"),
@@ -75,13 +63,8 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales for jobs that sort or write all rows, on all cores even from one unsplittable file."""
-    return sales(spark, sf_dir, spread(table(spark, sf_dir, "lineitem").select(*ITEM_COLUMNS)))
-
-
 def landing_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_lineage(spread_sales(spark, sf_dir), RELATIONAL_SOURCE, loaded_at())
+    return with_lineage(sales(spark, sf_dir), RELATIONAL_SOURCE, loaded_at())
 
 
 def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,7 +56,7 @@ def sales_source(spark: SparkSession, sf_dir: str) -> JdbcSource:
         source = embedded_source(spark)
         rows = inputs.sales(spark, sf_dir)
         # Spark quotes names when it creates a table; upper case is what unquoted SQL resolves to
-        folded = rows.toDF(*[name.upper() for name in rows.columns]).repartition(4)
+        folded = rows.toDF(*[name.upper() for name in rows.columns])
         write_table(folded, source, SALES_TABLE, SALES_TYPES)
         _LOADED[key] = source
     return _LOADED[key]

@@ -16,7 +16,7 @@ _CTES = {
         JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
     "landing_events": f"""
-        SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(event_id % 4000 AS INT) END AS id, ts,
+        SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE TRY_CAST(event_id - event_id % 3 AS INT) END AS id, ts,
                CASE WHEN event_id % 97 = 0 THEN NULL ELSE upper(event_type) END AS region,
                concat('p', CAST(user_id % 4 AS VARCHAR)) AS product,
                CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 0 THEN -value * 4 ELSE value * 4 END AS amount,
@@ -37,17 +37,25 @@ _CTES = {
                _source, _loaded_at, ts, kafka_partition, kafka_offset
         FROM landing_events""",
     "ranked": """
-        SELECT *, row_number() OVER (
-                   PARTITION BY _source, id
-                   ORDER BY _loaded_at DESC NULLS LAST, event_ts DESC NULLS LAST, kafka_partition DESC NULLS LAST,
-                            kafka_offset DESC NULLS LAST, sale_date DESC NULLS LAST, amount DESC NULLS LAST,
-                            region DESC NULLS LAST, product DESC NULLS LAST) AS rn
-        FROM unified""",
+        SELECT unified.*, row_number() OVER newest AS rn FROM unified
+        WINDOW newest AS (PARTITION BY id, _source ORDER BY
+            coalesce(_loaded_at, TIMESTAMP '0001-01-01 00:00:00') DESC, coalesce(event_ts, TIMESTAMP '0001-01-01 00:00:00') DESC,
+            coalesce(kafka_partition, -1) DESC, coalesce(kafka_offset, -1) DESC, sale_date DESC NULLS LAST,
+            amount DESC NULLS LAST, region DESC NULLS LAST, product DESC NULLS LAST)""",
     "core": """
-        SELECT id, sale_date, region, product, amount,
-               CASE WHEN id IS NULL THEN false ELSE amount > 0 AND amount <= 1000 END AS is_valid,
-               make_date(year(sale_date), month(sale_date), 1) AS sale_month, _source, _loaded_at
-        FROM ranked WHERE rn = 1""",
+        SELECT best.id, best.day AS sale_date, best.region, best.product, best.amount,
+               best.id IS NOT NULL AND best.amount BETWEEN 0.01 AND 1000 AS is_valid,
+               CAST(strftime(best.day, '%Y-%m-01') AS DATE) AS sale_month, src AS _source, best.loaded AS _loaded_at
+        FROM (
+            SELECT _source AS src, id, max({
+                -- a field's NULL flag comes before the field, so that NULL is the least of its values
+                'loaded': _loaded_at, 'ets': coalesce(event_ts, TIMESTAMP '0001-01-01 00:00:00'),
+                'part': coalesce(kafka_partition, -1), 'off': coalesce(kafka_offset, -1),
+                'has_day': sale_date IS NOT NULL, 'day': sale_date,
+                'has_amount': amount IS NOT NULL, 'amount': amount,
+                'has_region': region IS NOT NULL, 'region': region,
+                'has_product': product IS NOT NULL, 'product': product, 'id': id}) AS best
+            FROM unified GROUP BY src, id)""",
     "by_product": """
         SELECT sale_month, _source, region, product, n AS orders_cnt,
                CAST(CAST(s AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,2)) AS total_amount,
@@ -92,7 +100,7 @@ _NEEDS = {
     "topic": ["landing_events"],
     "unified": ["landing_sales", "landing_events"],
     "ranked": ["unified"],
-    "core": ["ranked"],
+    "core": ["unified"],
     "by_product": ["core"],
     "monthly": ["core"],
     "landing_all": ["landing_sales", "landing_events"],
@@ -165,7 +173,7 @@ ORACLES = {
                CAST(CAST((((g % 100003) * 48271) % 100003) % 100001 AS DECIMAL(12,2)) * 0.01 AS DECIMAL(12,2)) AS amount
         FROM (SELECT o_orderkey + 1 AS g FROM orders)""",
     "seed_events": """
-        SELECT CAST(g AS INT) AS id, TIMESTAMP '2025-01-01 00:00:00' + to_seconds(g) AS ts,
+        SELECT CAST(g AS BIGINT) AS id, TIMESTAMP '2025-01-01 00:00:00' + to_seconds(g) AS ts,
                (['north', 'south', 'east', 'west'])[1 + h % 4] AS region,
                (['widget', 'gadget', 'gizmo', 'doohickey'])[1 + (h // 4) % 4] AS product,
                round(1 + (h % 99901) / 100.0, 2)::DOUBLE AS amount
@@ -183,8 +191,8 @@ ORACLES = {
         SELECT 'created' AS step, CAST(0 AS BIGINT) AS rows_cnt
         UNION ALL SELECT 'filled', count(*) FROM events
         UNION ALL SELECT 'created_again', count(*) FROM events""",
-    "write_append": _with(["totals"], "SELECT * FROM totals UNION ALL SELECT 'TEST', 'literal', 1.00"),
-    "append_arrow": _with(["totals"], "SELECT * FROM totals UNION ALL SELECT 'TEST', 'from-python', 1.00"),
+    "write_append": _with(["totals"], "SELECT * FROM totals UNION ALL (VALUES ('POLAR', 'sundries', 17.25), (NULL, 'sundries', 0.50))"),
+    "append_arrow": _with(["totals"], "SELECT * FROM totals UNION ALL (VALUES ('POLAR', 'correction', -2.50), ('INLAND', 'correction', 40.75))"),
     "insert_select": _with(["landing_sales"], "SELECT id, region, product, amount FROM landing_sales"),
     "seed_if_empty": """
         SELECT CAST(a AS INT) AS attempt, n AS rows_cnt

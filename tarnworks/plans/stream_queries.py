@@ -16,9 +16,6 @@ from tarnworks.streaming import ingest, raw_landing
 from tarnworks.tables.versioned import VersionedTable
 from tarnworks.workspace import fresh_dir
 
-# A query that has not read its backlog by then is reported, not waited for.
-TIMEOUT_SECONDS = 600
-
 # Events before this moment arrive first, the others in a second delivery.
 SECOND_DELIVERY = "2024-01-15 00:00:00"
 
@@ -32,7 +29,7 @@ def new_table(spark: SparkSession, label: str) -> VersionedTable:
 
 
 def run_ingest(spark, topic, table, checkpoint):
-    return ingest.ingest(spark, topic, table, checkpoint, timeout=TIMEOUT_SECONDS)
+    return ingest.ingest(spark, topic, table, checkpoint)
 
 
 def streamed_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
@@ -126,14 +123,14 @@ def stream_two_readers(spark, sf_dir):
 def pumped(spark, sf_dir) -> DataFrame:
     table = new_table(spark, "pumped")
     topic = event_topic.filled_topic(spark, sf_dir)
-    ingest.pump(spark, topic, table, fresh_dir(spark, "checkpoint"), timeout=TIMEOUT_SECONDS)
+    ingest.pump(spark, topic, table, fresh_dir(spark, "checkpoint"))
     return table.read()
 
 
 def raw_json_landing(spark, sf_dir):
     folder = fresh_dir(spark, "raw")
     topic = event_topic.filled_topic(spark, sf_dir)
-    raw_landing.land_raw(spark, topic, folder, fresh_dir(spark, "checkpoint"), timeout=TIMEOUT_SECONDS)
+    raw_landing.land_raw(spark, topic, folder, fresh_dir(spark, "checkpoint"))
     lines = raw_landing.read_raw(spark, folder)
     return lines.select(decode_event(F.col("value")).alias("e")).select("e.*")
 

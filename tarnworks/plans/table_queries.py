@@ -90,19 +90,16 @@ def create_if_absent(spark, sf_dir):
 def write_append(spark, sf_dir):
     table = new_table(spark, "appended")
     table.overwrite(totals(spark, sf_dir))
-    table.append(spark.sql("SELECT * FROM VALUES ('TEST', 'literal', 1.00) AS t(region, product, total_amount)"))
+    table.append(spark.sql("SELECT * FROM VALUES ('POLAR', 'sundries', 17.25), (NULL, 'sundries', 0.50) AS extra(region, product, total_amount)"))
     return table.read()
 
 
 def append_arrow(spark, sf_dir):
     table = new_table(spark, "appended")
     table.overwrite(totals(spark, sf_dir))
-    batch = pa.table({
-        "region": ["TEST"],
-        "product": ["from-python"],
-        "total_amount": pa.array([Decimal("1.00")], type=pa.decimal128(22, 2)),
-    })
-    table.append(spark.createDataFrame(batch))
+    fields = pa.schema([("region", pa.string()), ("product", pa.string()), ("total_amount", pa.decimal128(22, 2))])
+    late = [{"region": name, "product": "correction", "total_amount": Decimal(cents).scaleb(-2)} for name, cents in (("POLAR", -250), ("INLAND", 4075))]
+    table.append(spark.createDataFrame(pa.Table.from_pylist(late, schema=fields)))
     return table.read()
 
 
@@ -115,7 +112,7 @@ def insert_select(spark, sf_dir):
     ])
     table = new_table(spark, "copied").create(schema)
     rows = inputs.sales(spark, sf_dir).select(*schema.names)
-    table.append(rows.repartitionByRange("id", "region", "product", "amount").sortWithinPartitions("id"))
+    table.append(rows)
     return table.read()
 
 
@@ -294,7 +291,7 @@ def table_partitions(spark, sf_dir):
 
 def _lake(spark, sf_dir) -> medallion.Lake:
     lake = medallion.Lake(spark, fresh_dir(spark, "lake"))
-    medallion.run(lake, inputs.spread_sales(spark, sf_dir), events_table(spark, sf_dir), inputs.loaded_at())
+    medallion.run(lake, inputs.sales(spark, sf_dir), events_table(spark, sf_dir), inputs.loaded_at())
     return lake
 
 

@@ -47,8 +47,8 @@ def seed_events(keys: DataFrame, base_ts: Column, column: str = "g") -> DataFram
     g = F.col(column)
     h = scatter(g)
     return keys.select(
-        g.cast("int").alias("id"),
-        F.timestamp_add("SECOND", g.cast("int"), base_ts).alias("ts"),
+        g.cast("bigint").alias("id"),
+        F.timestamp_micros(F.unix_micros(base_ts) + g.cast("bigint") * 1_000_000).alias("ts"),
         _pick(EVENT_REGIONS, h % 4).alias("region"),
         _pick(PRODUCTS, F.floor(h / 4) % 4).alias("product"),
         F.round(1 + (h % 99_901) / 100, 2).alias("amount"),

@@ -13,13 +13,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnworks.functions.messages import partition_of
-from tarnworks.operators.distribution import replicate
 from tarnworks.operators.numbering import number_within
 from tarnworks.schemas import TOPIC_RECORD
 from tarnworks.sources import filesystem as fs
 
-MAX_PARTITIONS = 10_000
-MAX_PEEK_BOUNDS = 200
 COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
@@ -78,7 +75,7 @@ def produce(messages: DataFrame, topic: Topic, order: list[str], order_is_unique
         messages = messages.withColumn("timestamp", F.current_timestamp())
     by = [F.col(name).asc_nulls_first() for name in order]
     numbered = number_within(messages, ["partition"], by, "_n", order_is_unique=order_is_unique)
-    highs = replicate(watermarks(spark, topic).select("partition", "high"), MAX_PARTITIONS)
+    highs = watermarks(spark, topic).select("partition", "high")  # a row a partition; Spark picks the join
     records = numbered.join(highs, "partition", "left").withColumn(
         "offset", F.coalesce(F.col("high"), F.lit(0)) + F.col("_n") - 1,
     )
@@ -90,17 +87,12 @@ def produce(messages: DataFrame, topic: Topic, order: list[str], order_is_unique
 def peek(spark: SparkSession, topic: Topic, n: int) -> DataFrame:
     """The first ``n`` messages by (partition, offset); no reader position moves.
 
-    Only the first ``n`` offsets of each partition can be among them, so that bound goes into the
-    scan and the message values of later offsets are never read.
+    Only the first ``n`` offsets of each partition can be among them; the others go before the sort.
     """
     messages = read_topic(spark, topic)
-    lows = watermarks(spark, topic).select("partition", "low").limit(MAX_PEEK_BOUNDS).collect()
-    if len(lows) < MAX_PEEK_BOUNDS:
-        near = F.lit(False)
-        for row in lows:
-            near = near | ((F.col("partition") == row["partition"]) & (F.col("offset") < row["low"] + n))
-        messages = messages.where(near)
-    return messages.orderBy("partition", "offset").limit(n)
+    lows = watermarks(spark, topic).select("partition", "low")
+    near = messages.join(lows, "partition").where(F.col("offset") < F.col("low") + n).select(*COLUMNS)
+    return near.orderBy("partition", "offset").limit(n)
 
 
 def watermarks(spark: SparkSession, topic: Topic) -> DataFrame:

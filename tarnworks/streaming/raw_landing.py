@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarnworks.functions.fixed_values import RAW_MAX_DELAY, RAW_MAX_RECORDS, RAW_MIN_RECORDS
+from tarnworks.functions.fixed_values import RAW_MAX_RECORDS
 from tarnworks.sources.topic import Topic, stream_topic
 from tarnworks.streaming.ingest import drain
 
@@ -21,15 +21,9 @@ def land_raw(
 ) -> StreamingQuery:
     """Write the values, without keys, as text objects of at most ``max_records`` lines.
 
-    On Kafka a micro-batch also waits for the minimum number of records or the delay. A failed
-    write fails the batch, so no message is lost.
+    A micro-batch takes what is there. A failed write fails the batch, so no message is lost.
     """
-    limits = {
-        "maxOffsetsPerTrigger": str(max_records),
-        "minOffsetsPerTrigger": str(RAW_MIN_RECORDS),
-        "maxTriggerDelay": RAW_MAX_DELAY,
-    } if topic.on_kafka else {}
-    lines = stream_topic(spark, topic, limits).select(F.col("value").cast("string").alias("value"))
+    lines = stream_topic(spark, topic).select(F.col("value").cast("string").alias("value"))
     writer = (
         lines.writeStream.format("text")
         .outputMode("append")

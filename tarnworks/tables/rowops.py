@@ -87,7 +87,7 @@ def delete_merge_on_read(table: VersionedTable, predicate: Column) -> int:
     """Record the positions of matching rows and leave the data files alone."""
     base = table.snapshot()
     matches = table.scan(base, located=True).where(predicate)
-    folder = f"deletes/commit={uuid.uuid4().hex}"
+    folder = f"deletes/__commit={uuid.uuid4().hex}"
     positions = matches.select(F.col(FILE).alias("file_path"), F.col(ROW).alias("row_index"))
     seen = Observation()
     positions.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{table.root}/{folder}")

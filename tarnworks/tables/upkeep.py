@@ -55,7 +55,7 @@ def drop_dangling_deletes(table: VersionedTable) -> int:
     standing = stage(positions.join(live, "file_path", "left_semi"), "standing-deletes")
     deletes: list[str] = []
     if not standing.isEmpty():
-        deletes = [f"deletes/commit={uuid.uuid4().hex}"]
+        deletes = [f"deletes/__commit={uuid.uuid4().hex}"]
         standing.write.parquet(f"{table.root}/{deletes[0]}")
     return table.commit(base, "replace", deletes=deletes)
 

@@ -2,8 +2,8 @@
 
 Layout under the table root::
 
-    data/commit=<id>/[k=v/]*.parquet   rows
-    deletes/commit=<id>/*.parquet      deleted positions (file_path, row_index)
+    data/__commit=<id>/[k=v/]*.parquet   rows
+    deletes/__commit=<id>/*.parquet      deleted positions (file_path, row_index)
     meta/<id>/                         file lists of partly live commits
     _log/<version>.json                snapshot headers
 
@@ -25,14 +25,14 @@ from pyspark.sql import types as T
 from tarnworks.sources import filesystem as fs
 from tarnworks.tables.snapshot import FILE_LIST, Snapshot, SnapshotLog, new_snapshot_id, now
 
-FILE, ROW = "_file", "_row"
+FILE, ROW = "__located_file", "__located_row"
 POSITIONS = T.StructType([
     T.StructField("file_path", T.StringType()),
     T.StructField("row_index", T.LongType()),
 ])
 # path inside the table, taken from a full file URI
-RELATIVE = r"((?:data|deletes)/commit=[0-9a-f]{32}/.*)$"
-COMMIT_FOLDER = r"^((?:data|deletes)/commit=[0-9a-f]{32})/"
+RELATIVE = r"((?:data|deletes)/__commit=[0-9a-f]{32}/.*)$"
+COMMIT_FOLDER = r"^((?:data|deletes)/__commit=[0-9a-f]{32})/"
 
 
 class VersionedTable:
@@ -73,7 +73,7 @@ class VersionedTable:
 
     def read(self, version: int | None = None, snapshot_id: int | None = None) -> DataFrame:
         """Rows of a version, the latest by default."""
-        return self.scan(self.snapshot(version, snapshot_id)).drop(FILE, ROW)
+        return self.scan(self.snapshot(version, snapshot_id))
 
     def scan(self, snapshot: Snapshot, located: bool = False, paths: list[str] | None = None) -> DataFrame:
         """Rows of a snapshot, or of some of its files, with deleted positions left out.
@@ -217,7 +217,7 @@ class VersionedTable:
 
         The rows are counted in the stage that writes them, where a retried task counts once.
         """
-        folder = f"data/commit={uuid.uuid4().hex}"
+        folder = f"data/__commit={uuid.uuid4().hex}"
         if partition_by:
             # rebalance gathers each partition value and splits the ones that are too big for a task
             rows = rows.hint("rebalance", *partition_by)
@@ -248,7 +248,7 @@ class VersionedTable:
             path = relative(F.col("uri"))
             parts.append(files.select(
                 path.alias("path"),
-                F.regexp_extract(path, r"^data/commit=[0-9a-f]{32}/(.*?)/?[^/]*$", 1).alias("partition"),
+                F.regexp_extract(path, r"^data/__commit=[0-9a-f]{32}/(.*?)/?[^/]*$", 1).alias("partition"),
                 F.col("n").alias("record_count"),
                 F.col("bytes").alias("file_size_in_bytes"),
             ))

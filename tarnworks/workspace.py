@@ -46,14 +46,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Hand a plain file scan to all cores when the files split into fewer pieces than that.
-
-    Large inputs have splits enough and come back as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, *rows.columns)

@@ -71,14 +71,6 @@ def test_require_raises_with_the_values(spark):
         reconcile.require(failing)
 
 
-def test_replicate_marks_only_small_inputs(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(distribution.replicate(spark.range(10), 10))
-    assert not hinted(distribution.replicate(spark.range(11), 10))
-
-
 def test_segments(spark):
     df = spark.createDataFrame([(0,), (4,), (1,), (-1,), (None,)], "id bigint")
     assert {r["segment"]: r["rows_cnt"] for r in distribution.segment_counts(df, 4).collect()} == {0: 3, 1: 1, 3: 1}

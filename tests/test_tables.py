@@ -245,7 +245,7 @@ def test_expiry_keeps_shared_files_and_recent_versions(spark, folder):
 def test_expiry_deletes_single_files_of_a_half_live_commit(spark, folder):
     table = VersionedTable(spark, folder()).create(T._parse_datatype_string("id bigint"))
     table.append(spark.range(8).repartition(4))
-    one_file = table.scan(table.snapshot(), located=True).where("id = 3").first()["_file"]
+    one_file = table.scan(table.snapshot(), located=True).where("id = 3").first()["__located_file"]
     rowops.delete_copy_on_write(table, F.col("id") == 3)
     upkeep.expire_snapshots(table, FUTURE, dry_run=False)
     assert not fs.exists(spark, f"{table.root}/{one_file}")
@@ -277,3 +277,21 @@ def test_day_layout_prunes_folders(spark, folder):
     assert got.columns == ["id", "ts"] and days.read(table).count() == 20
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_day" in plan
+
+
+def test_columns_named_like_internals_keep_their_values(spark, folder):
+    rows = spark.sql("SELECT 'mine' AS commit, 7L AS _row, 'f' AS _file")
+    table = VersionedTable(spark, folder()).create(rows.schema)
+    table.append(rows)
+    assert [tuple(r) for r in table.read().collect()] == [("mine", 7, "f")]
+
+
+def test_headers_appear_whole_or_not_at_all(spark, folder):
+    from tarnworks.sources import filesystem as fs
+
+    path = f"{folder()}/1.json"
+    fs.create_text(spark, path, "first")
+    with pytest.raises(FileExistsError):
+        fs.create_text(spark, path, "second")
+    assert fs.read_text(spark, path) == "first"
+    assert fs.list_names(spark, path.rsplit("/", 1)[0]) == ["1.json"]
