@@ -173,10 +173,13 @@ def _wave(trees: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, floor:
     """(query_id, vec_id, score, slot) of the best in each task's shards."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = Best(ids, queries, k, floor)
+        best = None
         for batch in batches:
             for row in batch.itertuples():
+                best = best or Best(ids, queries, k, floor)
                 search(_tree(row), best)
+        if best is None:
+            return
         who, rank = np.nonzero(best.found != _NO_ID)
         yield pd.DataFrame({
             "slot": who, "query_id": ids[who], "vec_id": best.found[who, rank], "score": best.score[who, rank].astype(np.int64),
@@ -185,6 +188,18 @@ def _wave(trees: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, floor:
     return trees.mapInPandas(run, "slot bigint, query_id bigint, vec_id bigint, score bigint")
 
 
+def _blocks(sizes: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """First and last of the neighbouring parts that make up a block of about BLOCK_QUERIES."""
+    first, total, last = None, 0, None
+    for part, n in sizes:
+        if first is not None and total + n > BLOCK_QUERIES:
+            yield first, last
+            first, total = None, 0
+        first, last, total = part if first is None else first, part, total + n
+    if first is not None:
+        yield first, last
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score). queries and candidates: (id, v) with whole-numbered doubles.
 
@@ -195,19 +210,20 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = TOP) -> DataFrame:
     trees = _shards(candidates, scratch)
     asked = scratch.stage(
         queries.distinct().repartitionByRange(max(1, -(-queries.count() // BLOCK_QUERIES)), "id", "v")
-        .withColumn("block", F.spark_partition_id()), "queries"
+        .withColumn("part", F.spark_partition_id()), "queries"
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = trees.count()
+    parts = min(max(1, shards), int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = []
-    sizes = {r["block"]: r["n"] for r in asked.groupBy("block").agg(F.count("*").alias("n")).collect()}
-    for block in sorted(sizes):
-        rows = asked.where(F.col("block") == block).toPandas()  # one bounded block
+    sizes = asked.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
+    for low, high in _blocks([(r["part"], r["n"]) for r in sizes]):
+        rows = asked.where(F.col("part").between(low, high)).toPandas()  # one bounded block
         for start in range(0, len(rows), BLOCK_QUERIES):
             part = rows.iloc[start : start + BLOCK_QUERIES]
             ids, q = part["id"].to_numpy(np.int64), matrix(part["v"].tolist())
             floor = np.full(len(ids), -np.inf)
             first = _wave(trees.where(F.col("shard") % FIRST_WAVE == 0).repartition(parts), ids, q, k, floor)
-            name = f"found-{block}-{start}"
+            name = f"found-{low}-{start}"
             seen = scratch.stage(first, f"{name}-first")
             ranked = Window.partitionBy("slot").orderBy(F.desc("score"), "vec_id")
             kth = seen.withColumn("r", F.row_number().over(ranked)).where(F.col("r") == k).select("slot", "score").toPandas()
