@@ -20,6 +20,7 @@ from tarnworks.schemas import (
     SERVING_MONTHLY,
     SERVING_QUALITY,
 )
+from tarnworks.tables.named import NamedTable
 from tarnworks.tables.versioned import VersionedTable
 
 BY_REGION_PRODUCT = "sales_by_region_product_monthly"
@@ -43,21 +44,25 @@ EMPTY_VALUES = {
 
 
 class Lake:
-    """Tables by layer under one root folder."""
+    """Named tables, with a database for each layer, stored under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``prefix`` begins the databases' names and keeps several lakes of one catalog apart.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark = spark
         self.root = root
+        self.prefix = prefix
 
-    def table(self, layer: str, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{layer}/{name}")
+    def table(self, layer: str, name: str) -> NamedTable:
+        return NamedTable(self.spark, f"{self.prefix}{layer}", name, f"{self.root}/{layer}")
 
 
 def land_sales(lake: Lake, sales: DataFrame, loaded_at: Column | None = None) -> None:
     lake.table("landing", "sales").overwrite(conform.with_lineage(sales, RELATIONAL_SOURCE, loaded_at))
 
 
-def land_events(lake: Lake, source: VersionedTable, loaded_at: Column | None = None) -> None:
+def land_events(lake: Lake, source: VersionedTable | NamedTable, loaded_at: Column | None = None) -> None:
     """Replace landing with the streamed table. Without one, keep the landing there is, or declare
     an empty one, so that the steps after it always find a table."""
     landing = lake.table("landing", "sales_events")
@@ -105,9 +110,7 @@ def publish(lake: Lake) -> dict[str, int]:
     """Copy the marts to serving tables in serving order; readers see the old copy or the new one."""
     published = {}
     for name in SERVING:
-        serving = lake.table("serving", name)
-        serving.overwrite(serving_rows(lake.table("mart", name).read(), name))
-        published[name] = int(serving.snapshot().summary["total-records"])
+        published[name] = lake.table("serving", name).overwrite(serving_rows(lake.table("mart", name).read(), name))
     return published
 
 
@@ -134,7 +137,7 @@ def verify_publish(lake: Lake, source_sales: DataFrame) -> DataFrame:
 def run(
     lake: Lake,
     sales: DataFrame,
-    events: VersionedTable,
+    events: VersionedTable | NamedTable,
     loaded_at: Column | None = None,
 ) -> DataFrame:
     """The whole chain; raises when a layer does not reconcile. Returns the check results."""

@@ -90,7 +90,9 @@ _CTES = {
     "order_events": """
         SELECT o_orderkey AS id, o_orderdate AS ts, o_orderstatus AS kind, o_orderpriority AS payload FROM orders""",
     "first_orders": "SELECT * FROM order_events WHERE ts < TIMESTAMP '1998-01-01 00:00:00'",
-    "shipped": "SELECT l_orderkey AS id, max(l_returnflag) AS kind FROM lineitem GROUP BY l_orderkey",
+    "shipped": """
+        SELECT CASE WHEN l_returnflag = 'R' THEN -l_orderkey ELSE l_orderkey END AS id, max(l_returnflag) AS kind
+        FROM lineitem GROUP BY 1""",
     "source_total": "SELECT CAST(sum(amount) AS DECIMAL(28,2)) AS v FROM landing_sales",
     "core_total": """
         SELECT CAST(sum(amount) AS DECIMAL(28,2)) AS v FROM core WHERE is_valid AND _source = 'greenplum'""",
@@ -285,15 +287,15 @@ ORACLES = {
     "time_travel": _with(["first_orders"], "SELECT * FROM first_orders"),
     "schema_evolution": _with(["order_events"], """
         SELECT *, CASE WHEN ts >= TIMESTAMP '1998-01-01 00:00:00' THEN 'web' END AS source FROM order_events"""),
-    "merge_upsert": _with(["first_orders", "shipped"], """
+    "merge_upsert": _with(["order_events", "shipped"], """
         SELECT coalesce(o.id, u.id) AS id, o.ts, CASE WHEN u.id IS NULL THEN o.kind ELSE u.kind END AS kind, o.payload
-        FROM first_orders o FULL JOIN shipped u ON o.id = u.id"""),
+        FROM order_events o FULL JOIN shipped u ON o.id = u.id"""),
     "delete_copy_on_write": _with(["landing_events"], f"SELECT {_STREAMED} FROM landing_events WHERE {_KEPT}"),
     "delete_merge_on_read": _with(["landing_events"], f"""
         SELECT {_STREAMED} FROM landing_events WHERE {_KEPT} AND NOT coalesce(amount > 500, false)"""),
     "table_delete_files": _with(["landing_events"], """
         SELECT count(*) AS deleted_rows, true AS has_delete_files FROM landing_events WHERE region = 'CLICK'"""),
-    "compact_files": _with(["order_events"], "SELECT * FROM order_events"),
+    "compact_files": _with(["order_events"], "SELECT *, true AS fewer_files, true AS settled FROM order_events"),
     "compact_deletes": _with(["landing_events"], f"""
         SELECT {_STREAMED}, CAST(0 AS BIGINT) AS delete_files FROM landing_events WHERE {_KEPT}"""),
     "expire_snapshots": _with(["order_events"], """

@@ -13,8 +13,9 @@ from tarnworks.operators.reconcile import require
 from tarnworks.plans import event_topic, inputs
 from tarnworks.sources import topic as topics
 from tarnworks.streaming import ingest, raw_landing
+from tarnworks.tables.named import NamedTable
 from tarnworks.tables.versioned import VersionedTable
-from tarnworks.workspace import fresh_dir
+from tarnworks.workspace import fresh_dir, fresh_name
 
 # Events before this moment arrive first, the others in a second delivery.
 SECOND_DELIVERY = "2024-01-15 00:00:00"
@@ -150,9 +151,10 @@ def stream_flow(spark, sf_dir):
 
 
 def landing_events(spark, sf_dir):
-    """The streamed table, found through the catalog, with lineage columns."""
-    streamed_table(spark, sf_dir).read().createOrReplaceTempView("streamed_sales_events")
-    return with_lineage(spark.table("streamed_sales_events"), STREAM_SOURCE, inputs.loaded_at())
+    """The streamed table, found by its name in the catalog, with lineage columns."""
+    named = NamedTable(spark, fresh_name("analytics"), "sales_events", fresh_dir(spark, "analytics"))
+    named.overwrite(streamed_table(spark, sf_dir).read())
+    return with_lineage(spark.table(named.name), STREAM_SOURCE, inputs.loaded_at())
 
 
 QUERIES = {

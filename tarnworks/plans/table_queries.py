@@ -15,7 +15,7 @@ from tarnworks.plans import inputs, medallion
 from tarnworks.sources import files, generators
 from tarnworks.tables import days, rowops, upkeep
 from tarnworks.tables.versioned import VersionedTable
-from tarnworks.workspace import fresh_dir
+from tarnworks.workspace import fresh_dir, fresh_name
 
 # Orders up to this day are the first load of the demo table, later ones arrive as changes.
 FIRST_LOAD_END = "1998-01-01"
@@ -136,13 +136,13 @@ def partition_by_day(spark, sf_dir):
 
 def landing_fallback(spark, sf_dir):
     """Landing rows: no source yet, source present, source gone again."""
-    lake = medallion.Lake(spark, fresh_dir(spark, "lake"))
+    lake = _new_lake(spark)
     landing = lake.table("landing", "sales_events")
     missing = new_table(spark, "absent")
     seen = []
     for step, source in (("absent", missing), ("present", events_table(spark, sf_dir)), ("gone", missing)):
         medallion.land_events(lake, source, inputs.loaded_at())
-        seen.append((step, int(landing.snapshot().summary["total-records"])))
+        seen.append((step, landing.read().count()))
     return spark.createDataFrame(seen, "step string, rows_cnt bigint")
 
 
@@ -200,15 +200,16 @@ def schema_evolution(spark, sf_dir):
 
 
 def shipped_updates(spark, sf_dir) -> DataFrame:
-    """One change per order that has line items."""
-    items = inputs.table(spark, sf_dir, "lineitem")
-    return items.groupBy(F.col("l_orderkey").alias("id")).agg(F.max("l_returnflag").alias("kind"))
+    """One change per order that has line items; returned items are booked under the negated key, as a new row."""
+    items, key = inputs.table(spark, sf_dir, "lineitem"), F.col("l_orderkey")
+    booked = F.when(F.col("l_returnflag") == "R", -key).otherwise(key)
+    return items.groupBy(booked.alias("id")).agg(F.max("l_returnflag").alias("kind"))
 
 
 def merge_upsert(spark, sf_dir):
-    first = first_orders(spark, sf_dir)
-    table = new_table(spark, "merged").create(first.schema)
-    table.append(first)
+    orders = order_events(spark, sf_dir)
+    table = new_table(spark, "merged").create(orders.schema)
+    table.append(orders)
     rowops.merge(table, shipped_updates(spark, sf_dir), ["id"], ["kind"], ["id", "kind"])
     return table.read()
 
@@ -236,9 +237,13 @@ def table_delete_files(spark, sf_dir):
 
 
 def compact_files(spark, sf_dir):
+    """The rows, and whether the first run left fewer files and the second had nothing to do."""
     table = orders_table(spark, sf_dir)
-    upkeep.compact(table, min_input_files=2)
-    return table.read()
+    before = table.data_files().count()
+    done = upkeep.compact(table, min_input_files=2)
+    fewer = table.data_files().count() < before
+    settled = upkeep.compact(table, min_input_files=2) == done
+    return table.read().withColumns({"fewer_files": F.lit(fewer), "settled": F.lit(settled)})
 
 
 def compact_deletes(spark, sf_dir):
@@ -289,8 +294,12 @@ def table_partitions(spark, sf_dir):
 # ---- layers -----------------------------------------------------------------
 
 
+def _new_lake(spark: SparkSession) -> medallion.Lake:
+    return medallion.Lake(spark, fresh_dir(spark, "lake"), fresh_name("lake") + "_")
+
+
 def _lake(spark, sf_dir) -> medallion.Lake:
-    lake = medallion.Lake(spark, fresh_dir(spark, "lake"))
+    lake = _new_lake(spark)
     medallion.run(lake, inputs.sales(spark, sf_dir), events_table(spark, sf_dir), inputs.loaded_at())
     return lake
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnworks.functions.fixed_values import ORPHAN_AGE_DAYS
@@ -18,6 +20,7 @@ from tarnworks.tables.versioned import COMMIT_FOLDER, VersionedTable, relative
 from tarnworks.workspace import stage
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def compact(
@@ -28,21 +31,40 @@ def compact(
 ) -> int:
     """Rewrite small files, and all files with ``rewrite_all``, into files near the target size.
 
-    Deleted positions of the rewritten files are applied. Without partition columns the input
-    splits are merged without a shuffle; with them Spark gathers each partition value and splits
-    the large ones.
+    A partition is left alone if it has fewer than ``min_input_files`` files below three quarters of the target,
+    or if as many files would come out as go in, so that a second run finds nothing to do. Deleted positions of the
+    rewritten files are applied. Without partition columns the input splits are merged without a shuffle; with them
+    Spark gathers each partition value and splits those beyond the target size.
     """
     base = table.snapshot()
-    files = table.data_files(base)
-    chosen = stage(files if rewrite_all else files.where(F.col("file_size_in_bytes") < target_bytes), "compact-files")
+    chosen = table.data_files(base)
+    if not rewrite_all:
+        small = stage(chosen.where(F.col("file_size_in_bytes") < 0.75 * target_bytes), "small-files")
+        crowded = small.groupBy("partition").agg(F.count("*").alias("n"), F.sum("file_size_in_bytes").alias("bytes")).where(
+            (F.col("n") >= min_input_files) & (F.ceil(F.col("bytes") / target_bytes) < F.col("n"))
+        )
+        chosen = small.join(crowded, "partition", "left_semi")
+    chosen = stage(chosen, "compact-files")
     size = chosen.agg(F.count("*"), F.coalesce(F.sum("file_size_in_bytes"), F.lit(0))).first()
-    if size[0] == 0 or (not rewrite_all and size[0] < min_input_files):
+    if size[0] == 0:
         return base.version
     paths = [row[0] for row in chosen.select("path").toLocalIterator()]
     rows = table.scan(base, paths=paths)
     if not base.partition_by:
         rows = rows.coalesce(max(1, math.ceil(size[1] / target_bytes)))
-    return replace_files(table, "replace", base, chosen.select("path"), paths, rows)
+    with _advisory_size(table.spark, target_bytes):
+        return replace_files(table, "replace", base, chosen.select("path"), paths, rows)
+
+
+@contextmanager
+def _advisory_size(spark: SparkSession, size: int) -> Iterator[None]:
+    """Let rebalanced writes aim at this size; the session's own setting comes back afterwards."""
+    before = spark.conf.get(ADVISORY_SIZE)
+    spark.conf.set(ADVISORY_SIZE, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(ADVISORY_SIZE, before)
 
 
 def drop_dangling_deletes(table: VersionedTable) -> int:

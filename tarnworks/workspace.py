@@ -38,6 +38,11 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def fresh_name(label: str) -> str:
+    """A name for catalog objects that no other run uses."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 

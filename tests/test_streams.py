@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions.messages import decode_event, encode_event
 from tarnworks.operators.reconcile import require
 from tarnworks.plans import medallion
+from tarnworks.workspace import fresh_name
 from tarnworks.schemas import EVENT_VALUE
 from tarnworks.sources.topic import Topic, peek, produce, read_topic, stream_topic, topic_size, watermarks
 from tarnworks.streaming import ingest, raw_landing
@@ -204,7 +205,7 @@ def test_raw_objects_hold_at_most_so_many_lines(spark, topic, folder):
 def test_medallion_without_a_stream(spark, sf_dir, folder):
     from tarnworks.plans import inputs
 
-    lake = medallion.Lake(spark, folder("lake"))
+    lake = medallion.Lake(spark, folder("lake"), fresh_name("lake") + "_")
     checks = medallion.run(lake, inputs.sales(spark, sf_dir), VersionedTable(spark, folder()), inputs.loaded_at())
     assert checks.count() == 5 and checks.where("NOT ok").count() == 0
     assert lake.table("landing", "sales_events").read().count() == 0
@@ -215,7 +216,7 @@ def test_medallion_without_a_stream(spark, sf_dir, folder):
 def test_tampered_serving_copy_is_noticed(spark, sf_dir, folder):
     from tarnworks.plans import inputs
 
-    lake = medallion.Lake(spark, folder("lake"))
+    lake = medallion.Lake(spark, folder("lake"), fresh_name("lake") + "_")
     medallion.run(lake, inputs.sales(spark, sf_dir), VersionedTable(spark, folder()), inputs.loaded_at())
     serving = lake.table("serving", medallion.MONTHLY)
     serving.overwrite(serving.read().withColumn("total_amount", (F.col("total_amount") + 1).cast("decimal(18,2)")))

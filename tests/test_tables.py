@@ -6,8 +6,10 @@ from pyspark.sql import types as T
 
 from tarnworks.sources import filesystem as fs
 from tarnworks.tables import days, rowops, upkeep
+from tarnworks.tables.named import NamedTable
 from tarnworks.tables.snapshot import CommitConflict
 from tarnworks.tables.versioned import VersionedTable
+from tarnworks.workspace import fresh_name
 
 FUTURE = datetime(2100, 1, 1, tzinfo=timezone.utc)
 
@@ -203,6 +205,32 @@ def test_compaction_splits_at_the_target_size(spark, folder):
     assert 3 <= table.data_files().count() <= 4 and table.read().distinct().count() == 40_000
 
 
+def test_compaction_settles_by_partition(spark, folder):
+    batches = [[(i, "x")] for i in range(3)] + [[(9, "y")]]
+    table = table_of(spark, folder(), *batches, partition_by=["v"])
+    done = upkeep.compact(table, min_input_files=2)
+    assert {r["partition"]: r["file_count"] for r in table.partitions().collect()} == {"v=x": 1, "v=y": 1}
+    assert done == 5 and upkeep.compact(table, min_input_files=2) == done  # y's only file was never touched
+    assert rows(table.read()) == [(0, "x"), (1, "x"), (2, "x"), (9, "y")]
+    assert upkeep.compact(letters(spark, folder()), target_bytes=1) == 4  # nothing below the target
+
+
+def test_named_table(spark, folder):
+    table = NamedTable(spark, fresh_name("shop"), "till", folder("it's a shop"))
+    assert not table.exists()
+    table.create(T._parse_datatype_string("id bigint not null"))
+    assert table.exists() and table.read().count() == 0
+    assert table.overwrite(spark.range(5).withColumn("commit", F.lit("mine"))) == 5
+    assert table.create(T._parse_datatype_string("other int")).read().columns == ["id", "commit"]
+    assert table.overwrite(table.read().where("id < 2")) == 2  # reads the rows it replaces
+    table.vacuum()
+    assert len(fs.list_names(spark, table.folder)) == 1
+    assert rows(spark.sql(f"SELECT * FROM {table.name}")) == [(0, "mine"), (1, "mine")]
+    with pytest.raises(Exception):
+        table.overwrite(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")))
+    assert table.read().count() == 2  # a failed job leaves the rows
+
+
 def test_delete_repair_sequence(spark, folder):
     table = letters(spark, folder())
     upkeep.compact(table, min_input_files=2)
