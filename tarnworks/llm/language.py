@@ -107,9 +107,8 @@ def log_likelihoods(logs: np.ndarray):
         sums = np.empty((0, shape[1]))
         for texts in batches:
             out = []
-            split = [spoken(text) for text in texts]
-            for start in range(0, len(split), TEXTS_AT_ONCE):
-                group = split[start : start + TEXTS_AT_ONCE]
+            for start in range(0, len(texts), TEXTS_AT_ONCE):  # words of so many texts are held at once
+                group = [spoken(text) for text in texts.iloc[start : start + TEXTS_AT_ONCE]]
                 if len(known) > KNOWN_WORDS:
                     known, sums = {}, np.empty((0, shape[1]))
                 new = list(set().union(*group).difference(known))

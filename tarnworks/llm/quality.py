@@ -52,7 +52,7 @@ def repeats(words: list[str]) -> int:
     return REPEAT_WEIGHT * sum(map(str.__eq__, words, words[1:]))
 
 
-def features(text: str | None) -> tuple[list[int], list[int]]:
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text with their counts."""
     words = (text or "").split()
     times = Counter(words)
@@ -60,23 +60,26 @@ def features(text: str | None) -> tuple[list[int], list[int]]:
     weights = np.bincount(bucket, weights=np.fromiter(times.values(), np.int64, len(times))[owner], minlength=BUCKETS)
     weights[REPEAT_BUCKET] = repeats(words)
     used = np.flatnonzero(weights)
-    return used.tolist(), weights[used].astype(np.int64).tolist()
+    return used.astype(np.int32), weights[used].astype(np.int32)
+
+
+def shares_of(counts: np.ndarray) -> np.ndarray:
+    return (counts / counts.sum()).astype(np.float32) if len(counts) else np.zeros(0, np.float32)
 
 
 def train(documents: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 1) -> tuple[np.ndarray, float]:
-    """Gradient descent over (buckets, counts, label); returns each bucket's share of the logit, and the bias."""
+    """Gradient descent over (buckets, their shares, label); returns each bucket's share of the logit, and the bias."""
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output = np.zeros((DIMENSIONS, 2), dtype=np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    shares = [(n / n.sum()).astype(np.float32) if len(n) else np.zeros(0, np.float32) for _, n, _ in documents]
     steps, done = EPOCHS * len(documents), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(documents)):
-            buckets, _, label = documents[i]
+            buckets, share, label = documents[i]
             rate = np.float32(LEARNING_RATE * (1 - done / steps))
             done += 1
-            hidden = shares[i] @ vectors[buckets]
+            hidden = share @ vectors[buckets]
             logits = hidden @ output + bias
             error = np.exp(logits - logits.max())
             error /= error.sum()
@@ -85,7 +88,7 @@ def train(documents: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 1) ->
             output -= rate * np.outer(hidden, error)
             bias -= np.float32(0.1) * rate * error
             # rescaled by the feature count, as each feature is met that often in a text
-            vectors[buckets] -= (rate * np.float32(len(buckets)) ** np.float32(0.5)) * np.outer(shares[i], back)
+            vectors[buckets] -= (rate * np.float32(len(buckets)) ** np.float32(0.5)) * np.outer(share, back)
     return (vectors @ (output[:, 1] - output[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
@@ -104,11 +107,13 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", key: st
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [features(t) for t in batch["body"]]
-            yield pd.DataFrame({
-                "_key": batch["_key"].astype(str), "_label": batch["_label"],
-                "buckets": [m[0] for m in made], "counts": [m[1] for m in made],
-            })
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.iloc[start : start + TEXTS_AT_ONCE]
+                made = [features(t) for t in part["body"]]
+                yield pd.DataFrame({
+                    "_key": part["_key"].astype(str).tolist(), "_label": part["_label"].tolist(),
+                    "buckets": [m[0] for m in made], "counts": [m[1] for m in made],
+                })
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["_key", "_label"])
@@ -119,7 +124,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", key: st
         else:
             rows = rows[rows["_label"].isin((0, 1))]
             weights, bias = train([
-                (np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float64), int(y))
+                (np.asarray(b, dtype=np.int32), shares_of(np.asarray(c)), int(y))
                 for b, c, y in zip(rows["buckets"], rows["counts"], rows["_label"])
             ])
         return pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
@@ -142,9 +147,8 @@ def scorer(weights: np.ndarray, bias: float):
         known: dict[str, tuple[float, int]] = {}
         for texts in batches:
             out = np.empty(len(texts))
-            split = [(text or "").split() for text in texts]
-            for start in range(0, len(split), TEXTS_AT_ONCE):
-                group = split[start : start + TEXTS_AT_ONCE]
+            for start in range(0, len(texts), TEXTS_AT_ONCE):  # words of so many texts are held at once
+                group = [(text or "").split() for text in texts.iloc[start : start + TEXTS_AT_ONCE]]
                 if len(known) > KNOWN_WORDS:
                     known.clear()
                 new = list(set().union(*group).difference(known))
