@@ -14,6 +14,7 @@ from tarnworks.operators.marts import totals_by_region_product
 from tarnworks.plans import inputs, medallion
 from tarnworks.sources import files, generators
 from tarnworks.tables import days, rowops, upkeep
+from tarnworks.tables.partitioned import PartitionedTable
 from tarnworks.tables.versioned import VersionedTable
 from tarnworks.workspace import fresh_dir, fresh_name
 
@@ -206,17 +207,20 @@ def shipped_updates(spark, sf_dir) -> DataFrame:
     return items.groupBy(booked.alias("id")).agg(F.max("l_returnflag").alias("kind"))
 
 
+def partitioned(spark, name: str, part) -> PartitionedTable:
+    """A new table whose rows lie by a text of their time."""
+    return PartitionedTable(spark, fresh_name(name), name, fresh_dir(spark, name), part, ["ts"])
+
+
 def merge_upsert(spark, sf_dir):
-    orders = order_events(spark, sf_dir)
-    table = new_table(spark, "merged").create(orders.schema)
-    table.append(orders)
-    rowops.merge(table, shipped_updates(spark, sf_dir), ["id"], ["kind"], ["id", "kind"])
+    table = partitioned(spark, "orders", F.date_format("ts", "yyyy-MM")).create(order_events(spark, sf_dir))
+    table.merge(shipped_updates(spark, sf_dir), ["id"], ["kind"], ["id", "kind"])
     return table.read()
 
 
 def delete_copy_on_write(spark, sf_dir):
-    table = events_table(spark, sf_dir)
-    rowops.delete_copy_on_write(table, F.col("region") == "CLICK")
+    table = partitioned(spark, "events", F.to_date("ts")).create(inputs.sales_events(spark, sf_dir))
+    table.delete(F.col("region") == "CLICK")
     return table.read()
 
 
