@@ -316,6 +316,18 @@ def _true_links(nodes: DataFrame, sample: list, width: int) -> DataFrame:
     return nodes.mapInPandas(run, "cid bigint, true bigint").groupBy("cid").agg(F.sum("true").alias("true"))
 
 
+def _sample(nodes: DataFrame, n: int, most: int) -> DataFrame:
+    """(cid, v) of the ``most`` nodes of least hash, or all ``n``, if fewer.
+
+    Nodes whose hash lies above twice the expected bound go first: a ranking alone would send ``most`` rows of every task
+    to one. Should fewer than ``most`` lie below it, all of those are taken; the sample only seeds the clusters.
+    """
+    order = F.xxhash64("cid")
+    share = 2 * most / n
+    thin = nodes.where(order < int(-(2**63) + share * 2**64)) if share < 1 else nodes
+    return thin.select("cid", "v").orderBy(order, "cid").limit(most)
+
+
 def link_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, float]:
     """((key, n_links, component_id, kept), audited recall)."""
     scratch = Scratch(df.sparkSession, "flat-graph")
@@ -324,7 +336,7 @@ def link_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding")
     if not n:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept")), 1.0
     width = nodes.agg(F.max(F.size("v"))).first()[0]
-    sample = nodes.select("cid", "v").orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE_ROWS).toPandas()
+    sample = _sample(nodes, n, SAMPLE_ROWS).toPandas()
     k = max(1, min(-(-n // ROWS_PER_CENTRE), MOST_CENTRES, len(sample)))
     centres = centres_of(unit_rows(sample["v"].tolist(), width), k)
     overlap, recall = OVERLAP, 0.0

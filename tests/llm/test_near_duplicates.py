@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarnworks.llm import balltree, flat_graph, simhash
 from tarnworks.llm.components import components
@@ -138,3 +139,11 @@ def test_top_k_small_and_empty(spark):
     scaled = balltree.scaled(df, "vec_id", "embedding")
     assert [tuple(r) for r in balltree.top_k(scaled.where("id % 20 = 0"), scaled).collect()] == [(20, 1, 21, 64 * 32)]
     assert balltree.top_k(scaled.limit(0), scaled.limit(0)).collect() == []
+
+
+def test_cluster_sample_is_that_of_the_whole_ranking(spark):
+    nodes = spark.range(4000).select(F.xxhash64("id", F.lit("n")).alias("cid"), F.array(F.col("id").cast("double")).alias("v"))
+    ranked = nodes.orderBy(F.xxhash64("cid"), "cid").select("cid")
+    for most in (300, 1999, 2000, 5000):
+        got = [r[0] for r in flat_graph._sample(nodes, 4000, most).select("cid").collect()]
+        assert got == [r[0] for r in ranked.limit(most).collect()]
