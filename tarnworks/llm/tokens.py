@@ -4,7 +4,8 @@ Both vocabularies split a text at ASCII white space before they merge anything,
 stretches' ids in a row. A stretch met before in the task is looked up. A new one that is a plain word, perhaps with
 ASCII marks behind it, is split in just that place by either tokenizer, so its word goes straight to the library's
 merge model; any other is encoded in full. The memory is bounded; a full one is emptied. Texts with other white
-space, where the rule might not hold, are encoded whole.
+space, where the rule might not hold, are encoded whole, and so are texts that hold an added token's literal (such as the end of
+text), which the library turns into that token.
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        added = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()}
+        # they may match after lower-casing, so any case counts
+        self.literals = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)", re.IGNORECASE)
         self.split: Callable[[bytes], list[bytes]] = _WITH_SPACES.findall if keeps_spaces else bytes.split
         self.lowers = not keeps_spaces
         self.model, self.letters = self.tokenizer.model, _byte_letters()
@@ -70,7 +73,7 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, text in enumerate(texts) if _OTHER_SPACE.search(text)}
+        whole = {i for i, text in enumerate(texts) if _OTHER_SPACE.search(text) or self.literals.search(text)}
         stretches = [[] if i in whole else self.split(text.encode("utf-8")) for i, text in enumerate(texts)]
         if len(self.known) > KNOWN_STRETCHES:
             self.known.clear()
