@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tarnworks.llm.elias_fano import encode, pack, prefixed, sequence, unpack
 from tarnworks.llm.scratch import Scratch, map_blob, read_table, write_blob
 
-ORDER = 2
+ORDER = 3
 DISCOUNT = 0.75
 FOLD, FOLDS = 1, 5
 WORDS_PER_SHARD = 1 << 18
