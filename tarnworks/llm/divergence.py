@@ -36,10 +36,11 @@ TOP_TERMS = 50
 SMOOTHING = 5
 SCALE_STEPS = 3  # shares are in units of 1000 ** -3
 PART_TERMS = 1024  # terms of a group in one partition of the first skybands
-MERGED_BANDS = 16
+MERGED_TERMS = 8192  # members of bands that one task merges
+MERGE_WHILE = 0.75  # a merge that leaves more than this share of the members is the last
 TILE_SOURCES = 256
 TILE_TERMS = 4096
-_HELD_TERMS = 400_000
+_HELD_TERMS = 800_000
 _BYTES_AT_ONCE = 1 << 20
 _ROWS_AT_ONCE = 1 << 16
 _POINTS_AT_ONCE = 512
@@ -103,9 +104,9 @@ def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: s
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"),
     )
     counted = rows.mapInArrow(_count_terms, "lang string, source string, term binary, n bigint, docs bigint")
-    return counted.groupBy("lang", "source", F.col("term").cast("string").alias("term")).agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs")
-    )
+    typed = counted.withColumn("term", F.col("term").cast("string"))
+    # tasks have combined their rows already; dealt first, they aren't hashed once more before the shuffle
+    return typed.repartition("lang", "source", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(n: Column, size: Column) -> Column:
@@ -176,18 +177,18 @@ def skyband(rows: DataFrame, groups: list[str], k: int, order: str = "term") ->
 
 
 def merged_skybands(rows: DataFrame, groups: list[str], k: int, scratch: Scratch, part_terms: int = PART_TERMS,
-                    fan_in: int = MERGED_BANDS) -> DataFrame:
-    """Skybands of partitions, merged ``fan_in`` at a time until a group has one."""
-    sizes = rows.groupBy(*groups).agg(F.ceil(F.count("*") / part_terms).alias("parts"))
-    dealt = rows.join(sizes, groups).withColumn("part", F.pmod(F.xxhash64("term"), "parts")).drop("parts")
-    band = scratch.stage(skyband(dealt, [*groups, "part"], k), "band-0")
-    level = 0
-    while (band.agg(F.max("part")).first()[0] or 0) > 0:
-        level += 1
-        up = band.withColumn("part", F.call_function("div", F.col("part"), F.lit(fan_in)))
-        band = scratch.stage(skyband(up, [*groups, "part"], k), f"band-{level}")
-        scratch.drop(f"band-{level - 1}")
-    return band.drop("part")
+                    merged_terms: int = MERGED_TERMS) -> DataFrame:
+    """Skybands of partitions, merged until a group has one, or until merging hardly takes anything away any more: what
+    is left holds the k best of a group either way, and no task ever takes more than about ``merged_terms`` rows."""
+    band, before, level = rows, None, 0
+    while True:
+        sizes = band.groupBy(*groups).agg(F.ceil(F.count("*") / (merged_terms if level else part_terms)).alias("parts"))
+        dealt = band.join(sizes, groups).withColumn("part", F.pmod(F.xxhash64("term"), "parts"))
+        last, band = band, scratch.stage(skyband(dealt.drop("parts"), [*groups, "part"], k).drop("part"), f"band-{level}")
+        left = band.count()
+        if level and (before * MERGE_WHILE <= left or last.groupBy(*groups).count().where(F.col("count") > merged_terms).isEmpty()):
+            return band
+        before, level = left, level + 1
 
 
 # ---- pairs of sources ---------------------------------------------------------------
@@ -249,7 +250,8 @@ def source_distances(kept: DataFrame, groups: DataFrame, tile_sources: int = TIL
 
 
 def audit(df: DataFrame, least_documents: int = LEAST_DOCUMENTS, top_terms: int = TOP_TERMS,
-          part_terms: int = PART_TERMS, tile_sources: int = TILE_SOURCES, tile_terms: int = TILE_TERMS) -> DataFrame:
+          part_terms: int = PART_TERMS, tile_sources: int = TILE_SOURCES, tile_terms: int = TILE_TERMS,
+          merged_terms: int = MERGED_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank): all pairs of sources and the terms that set each group most apart."""
     scratch = Scratch(df.sparkSession, "divergence")
     counts = scratch.stage(term_counts(df), "counts")
@@ -273,7 +275,7 @@ def audit(df: DataFrame, least_documents: int = LEAST_DOCUMENTS, top_terms: int
     value = share(F.col("n"), F.col("size")) - share(F.col("lang_n"), F.col("lang_size"))
     apart = kept.join(groups, ["lang", "source"]).select("lang", "source", "term", "n", "lang_n", value.alias("value"))
     # what a term above its language's share is dominated by is above it too, so the others go first
-    band = merged_skybands(scratch.stage(apart.where("n > 0 and value > 0"), "apart"), ["lang", "source"], top_terms, scratch, part_terms)
+    band = merged_skybands(scratch.stage(apart.where("n > 0 and value > 0"), "apart"), ["lang", "source"], top_terms, scratch, part_terms, merged_terms)
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     of_terms = band.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value").withColumn(
         "rank", F.row_number().over(ranked)

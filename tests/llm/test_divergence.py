@@ -57,10 +57,10 @@ def made(seed, n=240):
     return rows
 
 
-@pytest.mark.parametrize("seed, least, top, part, sources, terms", [(1, 3, 4, 4, 2, 3), (2, 2, 50, 1024, 256, 4096), (3, 5, 1, 1, 3, 1)])
-def test_matches_brute_force(spark, seed, least, top, part, sources, terms):
+@pytest.mark.parametrize("seed, least, top, part, sources, terms, merged", [(1, 3, 4, 4, 2, 3, 8), (2, 2, 50, 1024, 256, 4096, 8192), (3, 5, 1, 1, 3, 1, 2)])
+def test_matches_brute_force(spark, seed, least, top, part, sources, terms, merged):
     rows = made(seed)
-    got = divergence.audit(frame(spark, rows), least, top, part, sources, terms).collect()
+    got = divergence.audit(frame(spark, rows), least, top, part, sources, terms, merged).collect()
     assert len(got) == len({(r.lang, r.source, r.part, r.item) for r in got})
     assert {tuple(r) for r in got} == brute(rows, least, top)
 
