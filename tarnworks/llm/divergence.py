@@ -40,7 +40,7 @@ MERGED_TERMS = 8192  # members of bands that one task merges
 MERGE_WHILE = 0.75  # a merge that leaves more than this share of the members is the last
 TILE_SOURCES = 256
 TILE_TERMS = 4096
-_HELD_TERMS = 800_000
+_TERMS_AT_ONCE = 1 << 21
 _BYTES_AT_ONCE = 1 << 20
 _ROWS_AT_ONCE = 1 << 16
 _POINTS_AT_ONCE = 512
@@ -62,38 +62,66 @@ def _pieces(text: bytes) -> Iterator[bytes]:
         start = end
 
 
+def _terms_of(text: bytes) -> tuple[pa.Array, np.ndarray]:
+    """A text's terms with how often each entry counts; long texts come with the terms of each piece counted."""
+    if len(text) <= _BYTES_AT_ONCE:
+        terms = _TERM.findall(text.lower())
+        return pa.array(terms, pa.binary()), np.ones(len(terms), dtype=np.int64)
+    counts = [Counter(_TERM.findall(piece.lower())) for piece in _pieces(text)]
+    return pa.array([t for c in counts for t in c], pa.binary()), np.fromiter((n for c in counts for n in c.values()), dtype=np.int64)
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task's texts by (lang, source, term); a NULL term says that the group occurs."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    size = 0
+    held, names, size = [], {}, 0
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-            counts, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            before, seen = len(counts), set()
-            for piece in _pieces(text):
-                terms = _TERM.findall(piece.lower())
-                counts.update(terms)
-                seen.update(terms)
-            docs.update(seen)
-            size += len(counts) - before
-            if size > _HELD_TERMS:
-                yield from _as_rows(held)
-                held, size = {}, 0
-    yield from _as_rows(held)
-
-
-def _as_rows(held: dict) -> Iterator[pa.RecordBatch]:
-    for (lang, source), (counts, docs) in held.items():
-        terms = [None, *counts]
-        n = [0, *counts.values()]
-        d = [0, *(docs[term] for term in counts)]
-        for at in range(0, len(terms), _ROWS_AT_ONCE):
-            part = slice(at, at + _ROWS_AT_ONCE)
-            rows = len(terms[part])
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * rows, pa.string()), pa.array([source] * rows, pa.string()),
-                pa.array(terms[part], pa.binary()), pa.array(n[part], pa.int64()), pa.array(d[part], pa.int64()),
-            ], schema=_COUNTS)
+            terms, times = _terms_of(text)
+            held.append((names.setdefault((lang, source), len(names)), terms, times))
+            size += len(terms)
+            if size > _TERMS_AT_ONCE:
+                yield from _counted(held, list(names))
+                held, names, size = [], {}, 0
+    yield from _counted(held, list(names))
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts the keys, and where each run of equal ones starts in it."""
+    order = np.argsort(keys)
+    put = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], put[1:] != put[:-1]]))
+
+
+def _counted(held: list[tuple[int, pa.Array, np.ndarray]], names: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    if not names:
+        return
+    nothing = [0] * len(names)
+    yield pa.RecordBatch.from_arrays([
+        pa.array([n[0] for n in names], pa.string()), pa.array([n[1] for n in names], pa.string()),
+        pa.nulls(len(names), pa.binary()), pa.array(nothing, pa.int64()), pa.array(nothing, pa.int64()),
+    ], schema=_COUNTS)
+    coded = pa.chunked_array([terms for _, terms, _ in held], pa.binary()).combine_chunks().dictionary_encode()
+    known = max(len(coded.dictionary), 1)
+    lengths = [len(terms) for _, terms, _ in held]
+    if not sum(lengths):
+        return
+    times = np.concatenate([t for _, _, t in held])
+    keys = np.repeat(np.arange(len(held)), lengths) * known + coded.indices.to_numpy()
+    order, starts = _runs(keys)  # a text and a term
+    n = np.add.reduceat(times[order], starts)
+    text, term = np.divmod(keys[order[starts]], known)
+    keys = np.array([group for group, _, _ in held])[text] * known + term
+    order, starts = _runs(keys)  # a group and a term
+    n, docs = np.add.reduceat(n[order], starts), np.diff(starts, append=len(keys))
+    group, term = np.divmod(keys[order[starts]], known)
+    langs, sources = (pa.array([name[i] for name in names], pa.string()) for i in (0, 1))
+    for at in range(0, len(n), _ROWS_AT_ONCE):
+        part = slice(at, at + _ROWS_AT_ONCE)
+        own = pa.array(group[part])
+        yield pa.RecordBatch.from_arrays(
+            [langs.take(own), sources.take(own), coded.dictionary.take(pa.array(term[part])), pa.array(n[part]), pa.array(docs[part])],
+            schema=_COUNTS,
+        )
 
 
 def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

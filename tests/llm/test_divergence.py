@@ -6,6 +6,7 @@ from collections import Counter
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -101,3 +102,12 @@ def test_shares_are_exact_for_large_counts(spark):
         assert r.p == 1 + 10**9 * (r.n + 5) // r["size"]
         assert divergence._share(np.array([r.n]), np.array([r["size"]]))[0] == r.p
 
+
+
+def test_terms_of_a_long_text_count_as_one_document():
+    text = ("wörd WÖRD x " * (divergence._BYTES_AT_ONCE // 8)).encode()
+    batch = pa.RecordBatch.from_pydict({"lang": ["a"] * 3, "source": ["s", "s", "t"], "text": [text, b"x", b"12"]})
+    rows = [r for out in divergence._count_terms(iter([batch])) for r in out.to_pylist()]
+    times = divergence._BYTES_AT_ONCE // 8
+    assert sorted((r["source"], r["term"] or b"", r["n"], r["docs"]) for r in rows) == sorted([
+        ("s", b"", 0, 0), ("t", b"", 0, 0), ("s", "wörd".encode(), times, 1), ("s", "wÖrd".encode(), times, 1), ("s", b"x", times + 1, 2)])
