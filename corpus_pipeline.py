@@ -1,8 +1,12 @@
 """Corpus preparation in stages: language, quality, near-duplicates, mixing, packing.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes as Parquet and reads again as the
-next stage's documents. All but the last return the columns of documents. No SQL can express the trained models, so the
-whole is tested against brute-force versions of its stages.
+next stage's documents. All but the last return the columns of documents. No SQL can express the trained models; the tests
+follow a whole run stage by stage, with plain versions of those that no model decides.
+
+Stages treat awkward rows as the operators they call do: NULL and empty texts have no identified language and go in the
+first stage, repeated rows are near-duplicates of which one stays, extra columns stay until packing, whatever their
+names, and no documents give no rows.
 """
 
 from __future__ import annotations
@@ -24,8 +28,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates: five words, similarity 0.8 or more."""
-    return simhash.keep(docs, similar_words=5)
+    """One document, that of the smallest id, of each group whose fingerprints link: three words, three bits at most."""
+    return simhash.keep(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
