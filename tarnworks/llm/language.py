@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.llm.columns import free_name
 from tarnworks.llm.scratch import Scratch, read_table
 from tarnworks.llm.subwords import hashed_ngrams
 
@@ -210,7 +211,8 @@ def identify(
     best = F.array_max("__all")
     sure = F.coalesce(best >= CONFIDENCE, F.lit(False))
     named_best = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("__all", best).cast("int"))
-    dropped = [c for c in judged.columns if c.startswith("__") and c != "__row"]
+    own = df.select(*keys).columns
+    dropped = [c for c in judged.columns if c.startswith("__") and c not in own]
     return judged.withColumns({
         "language": F.when(sure, named_best).otherwise(F.lit("und")),
         "confidence": F.coalesce(best, F.lit(0.0)), "kept": sure,
@@ -225,9 +227,10 @@ def row_digest(df: DataFrame) -> Column:
 def keep(df: DataFrame, text: str = "text", declared: str | None = "lang", address: str | None = None, host: str | None = "source") -> DataFrame:
     """The rows with an identified language, columns unchanged."""
     scratch = Scratch(df.sparkSession, "language")
-    verdicts = identify(df, scratch, [row_digest(df).alias("__row")], text, declared, address, host)
-    rejected = scratch.stage(verdicts.where("not kept").select("__row").distinct(), "rejected")
-    return df.withColumn("__row", row_digest(df)).join(rejected, "__row", "left_anti").drop("__row")
+    row = free_name("row", df.columns)
+    verdicts = identify(df, scratch, [row_digest(df).alias(row)], text, declared, address, host)
+    rejected = scratch.stage(verdicts.where("not kept").select(row).distinct(), "rejected")
+    return df.withColumn(row, row_digest(df)).join(rejected, row, "left_anti").select(*df.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

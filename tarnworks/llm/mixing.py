@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnworks.llm.columns import free_name
 from tarnworks.llm.scratch import read_table
 
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
@@ -195,8 +196,10 @@ def with_probability(
 
 
 def keep(df: DataFrame, targets: Mapping[str, Mapping] | None = None, rate: float | None = None) -> DataFrame:
-    """The drawn rows, columns unchanged."""
-    return with_probability(df, ["source", "lang", "topic"], targets=targets, rate=rate).where("__drawn").select(*df.columns)
+    """The drawn rows, columns unchanged, whatever their names."""
+    aside = {c: free_name(c.strip("_"), df.columns) for c in df.columns if c.startswith("__")}
+    drawn = with_probability(df.withColumnsRenamed(aside), ["source", "lang", "topic"], targets=targets, rate=rate).where("__drawn")
+    return drawn.select(*[F.col(aside.get(c, c)).alias(c) for c in df.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnworks.llm.columns import free_name
 from tarnworks.llm.scratch import read_table
 from tarnworks.llm.subwords import hashed_ngrams
 
@@ -179,8 +180,8 @@ def held_out_scores(documents: DataFrame, labels: DataFrame, key: str = "doc_id"
 def keep(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows whose score reaches the threshold, columns unchanged."""
     score = scorer(*fit(documents, labels, key=key, text=text))
-    scored = documents.withColumn("__score", score(F.col(text)))
-    return scored.where(F.col("__score") >= THRESHOLD).drop("__score")
+    own = free_name("score", documents.columns)
+    return documents.withColumn(own, score(F.col(text))).where(F.col(own) >= THRESHOLD).select(*documents.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

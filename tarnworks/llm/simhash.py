@@ -17,7 +17,7 @@ repeated rows fall into one component; an empty table gives an empty result; oth
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tarnworks.llm import similar
+from tarnworks.llm.columns import free_name
 from tarnworks.llm.components import components
 from tarnworks.llm.scratch import Scratch, read_table
 
@@ -203,12 +203,10 @@ def links(distinct: DataFrame, scratch: Scratch) -> DataFrame:
     return edges.unionByName(scratch.stage(starred.distinct(), "starred"))
 
 
-def _grouped(rows: DataFrame, scratch: Scratch, linked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """rows: (id, fp), staged. Adds ``first``, the smallest id reachable over links; ``linked`` makes these from the
-    classes (fp, least, and the other columns of any one row)."""
-    others = [F.first(c).alias(c) for c in rows.columns if c not in ("id", "fp")]
-    classes = scratch.stage(rows.groupBy("fp").agg(F.min("id").alias("least"), *others), "classes")
-    roots = components(linked(classes) if linked else links(classes.select("fp"), scratch), scratch)
+def _grouped(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows: (id, fp), staged. Adds ``first``, the smallest id reachable over links."""
+    classes = scratch.stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    roots = components(links(classes.select("fp"), scratch), scratch)
     labelled = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -226,32 +224,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def keep(df: DataFrame, key: str = "doc_id", text: str = "text", similar_words: int | None = None) -> DataFrame:
-    """One row of each component, columns unchanged: the one with the smallest key, NULL first, then with the
-    smallest hash of key and text; of rows equal in both, any one. With ``similar_words``, the links are pairs whose
-    shingles of so many words have a Jaccard similarity of 0.8 or more, verified; else those of ``near_duplicates``."""
+def keep(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, columns unchanged: the one with the smallest key, NULL first, then with the smallest
+    hash of key and text; of rows equal in both, any one. Links are those of ``near_duplicates``."""
     scratch = Scratch(df.sparkSession, "simhash-keep")
-    rows = df.withColumn("__row", F.xxhash64(key, text))
-    named = F.struct(key, "__row").alias("id")
-    if similar_words:
-        made = similar.sketched(F.col(text), similar_words)
-        prints = scratch.stage(rows.select(named, made.alias("made")).select("id", "made.*"), "prints")
-        texts = rows.select(F.col("__row").alias("row"), F.col(text).alias("text"))
-
-        def linked(classes: DataFrame) -> DataFrame:
-            return similar.links(classes.withColumn("row", F.col("least.__row")), texts, similar_words, scratch)
-    else:
-        prints, linked = scratch.stage(rows.select(named, printed(F.col(text)).alias("fp")), "prints"), None
-    others = scratch.stage(
-        _grouped(prints, scratch, linked).where("id <> first").select(F.col("id.__row").alias("__row")).distinct(), "others"
-    )
+    row = free_name("row", df.columns)
+    rows = df.withColumn(row, F.xxhash64(key, text))
+    prints = scratch.stage(rows.select(F.struct(F.col(key).alias("key"), F.col(row).alias("row")).alias("id"), printed(F.col(text)).alias("fp")), "prints")
+    others = scratch.stage(_grouped(prints, scratch).where("id <> first").select(F.col("id.row").alias(row)).distinct(), "others")
     repeated = scratch.stage(
-        prints.groupBy(F.col("id.__row").alias("__row")).count().where("count > 1").select("__row")
-        .join(others, "__row", "left_anti"), "repeated"
+        prints.groupBy(F.col("id.row").alias(row)).count().where("count > 1").select(row).join(others, row, "left_anti"), "repeated"
     )
-    first = rows.join(others, "__row", "left_anti")
-    once = first.join(repeated, "__row", "left_anti")
-    again = first.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    first = rows.join(others, row, "left_anti")
+    once = first.join(repeated, row, "left_anti")
+    again = first.join(repeated, row, "left_semi").dropDuplicates([row])
     kept = once if repeated.isEmpty() else once.unionByName(again)
     return kept.select(*df.columns)
 

@@ -58,7 +58,6 @@ def test_empty_tables(spark):
 
 def encoded(name, end):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
 
 
