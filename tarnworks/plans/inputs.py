@@ -48,9 +48,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event stream as typed rows, with NULLs, repeated ids and bad amounts mixed in."""
+    return as_sales_events(table(spark, sf_dir, "events"))
+
+
+def as_sales_events(events: DataFrame) -> DataFrame:
+    """Rows of the event table, from a batch or a stream, as sales events."""
     n = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
-        F.when(n % 101 != 0, (n - n % 3).try_cast("int")).alias("id"),
+    return events.select(
+        F.when(n % 101 != 0, n - n % 3).alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(n % 97 != 0, F.upper("event_type")).alias("region"),
         F.concat(F.lit("p"), (F.col("user_id") % 4).cast("string")).alias("product"),

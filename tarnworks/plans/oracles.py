@@ -16,7 +16,7 @@ _CTES = {
         JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
     "landing_events": f"""
-        SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE TRY_CAST(event_id - event_id % 3 AS INT) END AS id, ts,
+        SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_id - event_id % 3 END AS id, ts,
                CASE WHEN event_id % 97 = 0 THEN NULL ELSE upper(event_type) END AS region,
                concat('p', CAST(user_id % 4 AS VARCHAR)) AS product,
                CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 0 THEN -value * 4 ELSE value * 4 END AS amount,
@@ -229,7 +229,7 @@ ORACLES = {
     # conform
     "landing_sales": _with(["landing_sales"], f"SELECT {_SALES}, _loaded_at, _source FROM landing_sales"),
     "landing_union": _with(["landing_all"], "SELECT * FROM landing_all"),
-    "landing_events": _with(["topic"], f"SELECT *, {_LOADED_AT} AS _loaded_at, 'kafka' AS _source FROM topic"),
+    "landing_events": _with(["landing_events"], "SELECT * FROM landing_events"),
     "core_unified": _with(["unified"], "SELECT * FROM unified"),
     "core_sales": _with(["core"], "SELECT * FROM core"),
     "dedup_ranked": _with(["ranked"], """
@@ -261,9 +261,9 @@ ORACLES = {
     "order_by": _with(["quality"], "SELECT * FROM quality ORDER BY _source, month"),
     "top_n": _with(["totals"], "SELECT * FROM totals ORDER BY region NULLS FIRST, product NULLS FIRST LIMIT 20"),
     # streams
-    "parse_events": _with(["topic"], f"SELECT {_STREAMED} FROM topic"),
-    "stream_ingest": _with(["topic"], f"SELECT {_STREAMED} FROM topic"),
-    "stream_incremental": _with(["topic"], f"SELECT {_STREAMED} FROM topic"),
+    "parse_events": _with(["landing_events"], f"SELECT {_STREAMED} FROM landing_events"),
+    "stream_ingest": _with(["landing_events"], f"SELECT {_STREAMED} FROM landing_events"),
+    "stream_incremental": _with(["landing_events"], f"SELECT {_STREAMED} FROM landing_events"),
     "stream_two_readers": _with(["landing_events"], """
         SELECT reader, n AS rows_cnt, k AS ids_cnt
         FROM (SELECT count(*) AS n, count(id) AS k FROM landing_events), (SELECT unnest(['eager', 'late']) AS reader)"""),
@@ -271,6 +271,14 @@ ORACLES = {
         ["landing_events"], "SELECT id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, region, product, amount FROM landing_events"),
     "stream_latest": "SELECT count(*) AS rows_cnt, CAST(date_trunc('second', max(ts)) AS TIMESTAMP) AS latest_ts FROM events",
     "raw_json_landing": _with(["landing_events"], f"SELECT {_EVENT} FROM landing_events"),
+    "raw_object_sizes": "SELECT count(*) AS lines_cnt, true AS none_above, true AS none_below FROM events",
+    "stream_quarantine": _with(["landing_events"], """
+        SELECT kafka_partition, kafka_offset, '{spoilt ' || CAST(kafka_offset AS VARCHAR) AS message
+        FROM landing_events WHERE kafka_offset % 50 = 7"""),
+    "message_quality": _with(["landing_events"], """
+        SELECT kafka_partition, count(*) AS messages, count(*) FILTER (WHERE kafka_offset % 50 <> 7) AS good,
+               count(*) FILTER (WHERE kafka_offset % 50 = 7) AS malformed
+        FROM landing_events GROUP BY kafka_partition"""),
     "snapshot_summary": """
         SELECT 'append' AS operation, count(*) AS added_records, count(*) AS total_records
         FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'

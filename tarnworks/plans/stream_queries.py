@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnworks.functions.fixed_values import STREAM_SOURCE
+from tarnworks.functions.fixed_values import RAW_MAX_RECORDS, RAW_MIN_RECORDS, STREAM_SOURCE
 from tarnworks.functions.messages import decode_event
 from tarnworks.operators.conform import with_lineage
 from tarnworks.operators.marts import latest_event
 from tarnworks.operators.reconcile import require
-from tarnworks.plans import event_topic, inputs
+from tarnworks.plans import event_stream, event_topic, inputs
+from tarnworks.schemas import SALES_EVENTS
 from tarnworks.sources import topic as topics
 from tarnworks.streaming import ingest, raw_landing
-from tarnworks.tables.named import NamedTable
+from tarnworks.streaming.runs import together
+from tarnworks.streaming.versioned_sink import ingest_versions
 from tarnworks.tables.versioned import VersionedTable
 from tarnworks.workspace import fresh_dir, fresh_name
 
@@ -25,30 +29,35 @@ def early():
     return F.col("ts") < F.lit(SECOND_DELIVERY).cast("timestamp")
 
 
-def new_table(spark: SparkSession, label: str) -> VersionedTable:
-    return VersionedTable(spark, fresh_dir(spark, label))
+def new_events_table(spark: SparkSession, label: str = "streamed") -> ingest.EventTable:
+    return ingest.EventTable(spark, fresh_name(label), "sales_events", fresh_dir(spark, label))
 
 
-def run_ingest(spark, topic, table, checkpoint):
-    return ingest.ingest(spark, topic, table, checkpoint)
+def streamed_table(spark: SparkSession, sf_dir: str, messages=event_stream.as_messages) -> ingest.EventTable:
+    """All events, streamed from where they lie."""
+    table = new_events_table(spark)
+    ingest.ingest(event_stream.arrived(spark, sf_dir, messages).stream(spark), table)
+    return table
 
 
-def streamed_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    table = new_table(spark, "streamed")
-    run_ingest(spark, event_topic.filled_topic(spark, sf_dir), table, fresh_dir(spark, "checkpoint"))
+def two_deliveries(spark: SparkSession, sf_dir: str) -> ingest.EventTable:
+    """Deliver, ingest, ingest again with nothing new, deliver the rest, ingest."""
+    box, table = event_stream.inbox(spark, sf_dir), new_events_table(spark)
+    event_stream.deliver(spark, sf_dir, box, early())
+    ingest.ingest(box.stream(spark), table)
+    ingest.ingest(box.stream(spark), table)
+    event_stream.deliver(spark, sf_dir, box, ~early())
+    ingest.ingest(box.stream(spark), table)
     return table
 
 
-def two_deliveries(spark: SparkSession, sf_dir: str) -> tuple[topics.Topic, VersionedTable]:
-    """Deliver, ingest, ingest again with nothing new, deliver the rest, ingest."""
-    topic, table = event_topic.new_topic(spark), new_table(spark, "streamed")
+def versions_of_two_deliveries(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    topic, table = event_topic.new_topic(spark), VersionedTable(spark, fresh_dir(spark, "streamed"))
     checkpoint = fresh_dir(spark, "checkpoint")
-    event_topic.deliver(spark, sf_dir, topic, early())
-    run_ingest(spark, topic, table, checkpoint)
-    run_ingest(spark, topic, table, checkpoint)
-    event_topic.deliver(spark, sf_dir, topic, ~early())
-    run_ingest(spark, topic, table, checkpoint)
-    return topic, table
+    for part in (early(), ~early()):
+        event_topic.deliver(spark, sf_dir, topic, part)
+        ingest_versions(spark, topic, table, checkpoint)
+    return table
 
 
 def topic_peek(spark, sf_dir):
@@ -85,16 +94,25 @@ def topic_produce_unkeyed(spark, sf_dir):
 
 
 def parse_events(spark, sf_dir):
-    return ingest.parse_events(topics.read_topic(spark, event_topic.filled_topic(spark, sf_dir)))
+    return ingest.parse_events(event_stream.arrived(spark, sf_dir).batch(spark))
 
 
 def stream_incremental(spark, sf_dir):
-    """The ingested rows without their topic position, which depends on the two deliveries."""
-    return two_deliveries(spark, sf_dir)[1].read()
+    return two_deliveries(spark, sf_dir).read()
+
+
+def stream_quarantine(spark, sf_dir):
+    """The text of messages that aren't JSON, and where they came from."""
+    return streamed_table(spark, sf_dir, event_stream.with_spoilt_values).quarantine()
+
+
+def message_quality(spark, sf_dir):
+    """Good and malformed messages of each topic partition."""
+    return streamed_table(spark, sf_dir, event_stream.with_spoilt_values).message_counts()
 
 
 def snapshot_summary(spark, sf_dir):
-    history = two_deliveries(spark, sf_dir)[1].history()
+    history = versions_of_two_deliveries(spark, sf_dir).history()
 
     def counter(name: str):
         return F.try_element_at("summary", F.lit(name)).cast("bigint")
@@ -105,15 +123,13 @@ def snapshot_summary(spark, sf_dir):
 
 
 def stream_two_readers(spark, sf_dir):
-    """Each reader keeps its own position: one runs after every delivery, one only at the end."""
-    topic = event_topic.new_topic(spark)
-    tables = {name: new_table(spark, name) for name in ("eager", "late")}
-    places = {name: fresh_dir(spark, "checkpoint") for name in tables}
-    event_topic.deliver(spark, sf_dir, topic, early())
-    run_ingest(spark, topic, tables["eager"], places["eager"])
-    event_topic.deliver(spark, sf_dir, topic, ~early())
-    for name in tables:
-        run_ingest(spark, topic, tables[name], places[name])
+    """Each reader keeps its own position: one has read the first delivery when both are run, side by side, for the rest."""
+    box = event_stream.inbox(spark, sf_dir)
+    tables = {name: new_events_table(spark, name) for name in ("eager", "late")}
+    event_stream.deliver(spark, sf_dir, box, early())
+    ingest.ingest(box.stream(spark), tables["eager"])
+    event_stream.deliver(spark, sf_dir, box, ~early())
+    together(spark, {name: partial(_start, spark, box, table) for name, table in tables.items()})
     rows = [
         table.read().agg(F.lit(name).alias("reader"), F.count("*").alias("rows_cnt"), F.count("id").alias("ids_cnt"))
         for name, table in tables.items()
@@ -121,40 +137,51 @@ def stream_two_readers(spark, sf_dir):
     return rows[0].unionByName(rows[1])
 
 
+def _start(spark, box, table):
+    return table.start(ingest.parse_events(box.stream(spark), audit=True))
+
+
 def pumped(spark, sf_dir) -> DataFrame:
-    table = new_table(spark, "pumped")
-    topic = event_topic.filled_topic(spark, sf_dir)
-    ingest.pump(spark, topic, table, fresh_dir(spark, "checkpoint"))
+    table = ingest.sorted_events(spark, fresh_name("pumped"), "sales_events", fresh_dir(spark, "pumped"))
+    ingest.pump(event_stream.arrived(spark, sf_dir).stream(spark), table)
     return table.read()
 
 
 def raw_json_landing(spark, sf_dir):
     folder = fresh_dir(spark, "raw")
-    topic = event_topic.filled_topic(spark, sf_dir)
-    raw_landing.land_raw(spark, topic, folder, fresh_dir(spark, "checkpoint"))
+    raw_landing.land_raw(event_stream.arrived(spark, sf_dir).stream(spark), folder, fresh_dir(spark, "checkpoint"))
     lines = raw_landing.read_raw(spark, folder)
     return lines.select(decode_event(F.col("value")).alias("e")).select("e.*")
 
 
+def raw_object_sizes(spark, sf_dir):
+    """Lines that were landed, and whether every object keeps to the limits."""
+    folder = fresh_dir(spark, "raw")
+    raw_landing.land_raw(event_stream.arrived(spark, sf_dir).stream(spark), folder, fresh_dir(spark, "checkpoint"))
+    sizes = spark.read.text(folder).groupBy(F.input_file_name().alias("object")).agg(F.count("*").alias("lines"))
+    return sizes.agg(
+        F.sum("lines").alias("lines_cnt"), (F.max("lines") <= RAW_MAX_RECORDS).alias("none_above"),
+        ((F.min("lines") >= RAW_MIN_RECORDS) | (F.count("*") == 1)).alias("none_below"),
+    )
+
+
 def verify_stream_counts(spark, sf_dir):
-    topic, table = two_deliveries(spark, sf_dir)
-    return ingest.verify_counts(spark, topic, table)
+    return ingest.verify_counts(two_deliveries(spark, sf_dir))
 
 
 def stream_flow(spark, sf_dir):
-    """Produce, ingest, verify; raises when the counts differ. Returns events per region."""
-    topic, table = event_topic.new_topic(spark), new_table(spark, "streamed")
-    event_topic.deliver(spark, sf_dir, topic)
-    run_ingest(spark, topic, table, fresh_dir(spark, "checkpoint"))
-    require(ingest.verify_counts(spark, topic, table))
+    """Deliver, ingest, verify; raises when the counts differ. Returns events per region."""
+    box, table = event_stream.inbox(spark, sf_dir), new_events_table(spark)
+    delivered = event_stream.deliver(spark, sf_dir, box, F.lit(True))
+    ingest.ingest(box.stream(spark), table)
+    require(ingest.verify_counts(table, delivered=delivered))
     return table.read().groupBy("region").agg(F.count("*").alias("rows_cnt"), F.max("ts").alias("latest_ts"))
 
 
 def landing_events(spark, sf_dir):
     """The streamed table, found by its name in the catalog, with lineage columns."""
-    named = NamedTable(spark, fresh_name("analytics"), "sales_events", fresh_dir(spark, "analytics"))
-    named.overwrite(streamed_table(spark, sf_dir).read())
-    return with_lineage(spark.table(named.name), STREAM_SOURCE, inputs.loaded_at())
+    named = spark.table(streamed_table(spark, sf_dir).name).select(*SALES_EVENTS.names)
+    return with_lineage(named, STREAM_SOURCE, inputs.loaded_at())
 
 
 QUERIES = {
@@ -169,6 +196,9 @@ QUERIES = {
     "stream_mv_pump": pumped,
     "stream_latest": lambda spark, d: latest_event(pumped(spark, d)),
     "raw_json_landing": raw_json_landing,
+    "raw_object_sizes": raw_object_sizes,
+    "stream_quarantine": stream_quarantine,
+    "message_quality": message_quality,
     "verify_stream_counts": verify_stream_counts,
     "snapshot_summary": snapshot_summary,
     "stream_flow": stream_flow,
