@@ -286,6 +286,9 @@ ORACLES = {
         SELECT 'append', count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'), count(*) FROM events""",
     "stream_flow": _with(["landing_events"], """
         SELECT region, count(*) AS rows_cnt, max(ts) AS latest_ts FROM landing_events GROUP BY region"""),
+    "file_size_profile": _with(["order_events"], """
+        SELECT strftime(ts, '%Y') AS year, CAST(1 AS BIGINT) AS file_count, count(*) AS rows_cnt, true AS sketch_agrees
+        FROM order_events GROUP BY 1"""),
     # versions
     "table_history": """
         SELECT CAST(0 AS BIGINT) AS version, 'create' AS operation, CAST(0 AS BIGINT) AS total_records

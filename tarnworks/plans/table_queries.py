@@ -170,8 +170,17 @@ def scan_versioned(spark, sf_dir):
 
 
 def file_size_profile(spark, sf_dir):
-    table = orders_table(spark, sf_dir)
-    return files.size_profile(upkeep.listing(table)).select("file_count", "total_bytes", "min_bytes", "median_bytes", "max_bytes")
+    """Files and rows of each year of a compacted table, and whether the sketch of file sizes, merged over all years, holds them."""
+    table = delivered_orders(spark, sf_dir)
+    table.compact(min_input_files=2)
+    profile = files.size_profile(table.files(), "_part", "bytes")
+    ends = files.size_quantiles(profile, [0.0, 1.0]).first()
+    whole = profile.agg(F.sum("file_count").alias("n"), F.min("min_bytes").alias("least"), F.max("max_bytes").alias("most")).first()
+    agrees = (ends["file_count"], ends["quantiles"]) == (whole["n"], [whole["least"], whole["most"]])
+    rows = spark.table(table.name).groupBy("_part").agg(F.count("*").alias("rows_cnt"))
+    return profile.join(rows, "_part").select(
+        F.col("_part").alias("year"), "file_count", "rows_cnt", F.lit(agrees).alias("sketch_agrees"),
+    )
 
 
 # ---- versions ---------------------------------------------------------------
@@ -240,13 +249,20 @@ def table_delete_files(spark, sf_dir):
     )
 
 
+def delivered_orders(spark, sf_dir) -> PartitionedTable:
+    """Orders by year, delivered in three parts, so that every year has small files."""
+    orders, part = order_events(spark, sf_dir), F.pmod("id", F.lit(3))
+    table = partitioned(spark, "orders", F.year("ts")).create(orders.where(part == 0))
+    return table.append(orders.where(part == 1)).append(orders.where(part == 2))
+
+
 def compact_files(spark, sf_dir):
     """The rows, and whether the first run left fewer files and the second had nothing to do."""
-    table = orders_table(spark, sf_dir)
-    before = table.data_files().count()
-    done = upkeep.compact(table, min_input_files=2)
-    fewer = table.data_files().count() < before
-    settled = upkeep.compact(table, min_input_files=2) == done
+    table = delivered_orders(spark, sf_dir)
+    before = table.files().count()
+    table.compact(min_input_files=2)
+    fewer = table.files().count() < before
+    settled = table.compact(min_input_files=2) == 0
     return table.read().withColumns({"fewer_files": F.lit(fewer), "settled": F.lit(settled)})
 
 

@@ -12,8 +12,9 @@ from tarnworks.sources import filesystem as fs
 
 
 class NamedTable:
-    """One table of a database. Rows are written to a folder of their own before the name moves to it, so a job that
-    fails leaves the old rows, and readers of the old folder are not disturbed until ``vacuum``."""
+    """One table of a database. Rows are written to a folder of their own before the name moves to it, by one change in the
+    catalog: readers find the old rows or the new ones at any moment, a job that fails leaves the old ones, and files that a reader
+    has begun on stay until ``vacuum``. Only rows of another schema need the table to be dropped and declared again."""
 
     def __init__(self, spark: SparkSession, database: str, name: str, root: str):
         self.spark = spark
@@ -40,8 +41,10 @@ class NamedTable:
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        location = self.root.replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{location}'")
+        if self.exists() and self.spark.table(self.name).schema == schema:
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{_quoted(folder)}'")
+            return seen.get["rows"]
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{_quoted(self.root)}'")
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # an external table: its files stay
         self.spark.catalog.createTable(self.name, path=folder, source="parquet", schema=schema)
         return seen.get["rows"]
@@ -52,3 +55,7 @@ class NamedTable:
         for old in fs.list_names(self.spark, self.folder):
             if not current.endswith(f"/{old}"):
                 fs.delete(self.spark, f"{self.folder}/{old}", recursive=True)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")

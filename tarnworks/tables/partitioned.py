@@ -14,6 +14,8 @@ from tarnworks.sources import filesystem as fs
 from tarnworks.workspace import fresh_dir
 
 PART = "_part"
+TARGET_FILE_BYTES = 512 * 1024 * 1024
+MOST_TASKS = 20_000  # beyond it a task writes several files
 
 
 class RepeatedKeys(ValueError):
@@ -47,6 +49,44 @@ class PartitionedTable:
         self._arranged(df).write.partitionBy(PART).option("partitionOverwriteMode", "dynamic").saveAsTable(self.name)
         return self
 
+    def append(self, df: DataFrame) -> PartitionedTable:
+        """Add rows as new files of their partitions."""
+        columns = self.read().columns
+        self._arranged(df.select(*columns)).write.insertInto(self.name)
+        self.spark.catalog.refreshTable(self.name)
+        return self
+
+    def files(self) -> DataFrame:
+        """(_part, path, bytes) of every file; the files are listed, not read."""
+        place = self.spark.sql(f"DESCRIBE EXTENDED {self.name}").where("col_name = 'Location'").first()["data_type"]
+        listed = self.spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(place)
+        part = F.regexp_extract("path", rf"/{PART}=([^/]*)/[^/]*$", 1)
+        plain = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+        return listed.select(plain.alias(PART), "path", F.col("length").alias("bytes"))
+
+    def compact(self, target_bytes: int = TARGET_FILE_BYTES, min_input_files: int = 5) -> int:
+        """Write partitions of many small files anew in files near the target size; returns how many partitions.
+
+        A partition is written again if it has ``min_input_files`` or more and at most half as many will do, so a second run
+        finds nothing to do. Rows are dealt by their place, which parts copies of a row as well as others. Partitions replace
+        each other when the job commits.
+        """
+        with _Staging(self.spark, "compact") as staged:
+            wanted = F.greatest(F.ceil(F.sum("bytes") / target_bytes), F.lit(1)).alias("wanted")
+            crowded = staged.write(
+                self.files().groupBy(PART).agg(F.count("*").alias("n"), wanted)
+                .where((F.col("n") >= min_input_files) & (F.col("wanted") * 2 <= F.col("n"))).select(PART, "wanted"), "crowded",
+            )
+            count, total = crowded.agg(F.count("*"), F.sum("wanted")).first()
+            if count:
+                rows = self.spark.table(self.name)
+                place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+                dealt = rows.select(*rows.columns, place).join(crowded, PART).withColumn("_slot", F.pmod("_place", "wanted"))
+                # a given number of tasks, for small ones that are put together would write fewer files
+                dealt.repartition(min(total, MOST_TASKS), PART, "_slot").select(*rows.columns).write.insertInto(self.name, overwrite=True)
+                self.spark.catalog.refreshTable(self.name)
+            return count
+
     def merge(self, updates: DataFrame, on: list[str], set_columns: list[str], insert_columns: list[str] | None = None) -> None:
         """Update matched rows and insert the others with the given columns, the rest NULL.
 

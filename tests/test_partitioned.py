@@ -60,3 +60,83 @@ def test_delete_rewrites_some_and_drops_whole_partitions(spark, table):
     table.delete(F.col("k") == 77)
     table.delete(F.lit(True))
     assert rows(table.read()) == []
+
+
+# ---- files and compaction ----------------------------------------------------------
+
+
+@pytest.fixture
+def pile(spark):
+    """Ten deliveries of two groups, one of them also of a name that a path must escape."""
+    database = fresh_name("pile")
+    made = PartitionedTable(spark, database, "stock", fresh_dir(spark, "pile"), F.col("grp"), ["grp"])
+
+    def delivery(i):
+        return spark.createDataFrame([(i, "a=b/c +%é", "x"), (i, "plain", "y"), (i, "plain", "y")], SHAPE)
+
+    made.create(delivery(0))
+    for i in range(1, 10):
+        made.append(delivery(i))
+    made.append(spark.createDataFrame([(99, "alone", "z")], SHAPE))
+    yield made
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+
+
+def per_part(table):
+    return {r["_part"]: r["n"] for r in table.files().groupBy("_part").agg(F.count("*").alias("n")).collect()}
+
+
+def test_compaction_writes_crowded_partitions_once(spark, pile):
+    before = rows(pile.read())
+    assert per_part(pile) == {"a=b/c +%é": 10, "plain": 10, "alone": 1}
+    alone = {r["path"] for r in pile.files().where("_part = 'alone'").collect()}
+    assert pile.compact(min_input_files=11) == 0
+    assert pile.compact() == 2
+    assert per_part(pile) == {"a=b/c +%é": 1, "plain": 1, "alone": 1}
+    assert alone == {r["path"] for r in pile.files().where("_part = 'alone'").collect()}  # left as it was
+    assert rows(pile.read()) == before
+    assert pile.compact() == pile.compact(min_input_files=1) == 0
+
+
+def test_compaction_aims_at_the_target_size(spark, pile):
+    before = rows(pile.read())
+    size = pile.files().where("_part = 'plain'").agg(F.sum("bytes")).first()[0]
+    assert pile.compact(target_bytes=size // 3, min_input_files=2) == 2  # copies of one row are dealt over the files too
+    assert 2 <= per_part(pile)["plain"] <= 4
+    assert rows(pile.read()) == before
+
+
+def test_compaction_reads_no_path_on_the_driver(spark, pile, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(self, *a, **k):
+        raise AssertionError("rows came to the driver")
+
+    monkeypatch.setattr(DataFrame, "toLocalIterator", refuse)
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: refuse(self) if "path" in self.columns else collect(self))
+    assert pile.compact() == 2
+
+
+def test_append_and_merge_after_compaction(spark, pile):
+    pile.compact()
+    pile.append(spark.createDataFrame([("w", 7, "plain")], "v string, k int, grp string"))  # matched by name
+    pile.merge(spark.createDataFrame([(99, "q")], "k int, v string"), ["k"], ["v"])
+    assert pile.read().where("grp = 'alone'").first()["v"] == "q" and pile.read().where("v = 'w'").count() == 1
+
+
+def test_size_sketches_merge_over_folders(spark):
+    from tarnworks.sources import files as scans
+
+    sizes = [(f"d{i % 7}", (i * 7919) % 10_007) for i in range(5000)]
+    listed = spark.createDataFrame(sizes, "folder string, bytes bigint")
+    profile = scans.size_profile(listed, "folder", "bytes", small_bytes=100)
+    assert profile.agg(F.sum("file_count"), F.sum("total_bytes"), F.sum("small_files")).first()[:] == (
+        5000, sum(s for _, s in sizes), sum(s < 100 for _, s in sizes))
+    got = scans.size_quantiles(profile, [0.0, 0.1, 0.5, 0.9, 1.0]).first()
+    ordered = sorted(s for _, s in sizes)
+    assert got["file_count"] == 5000 and got["quantiles"][0] == ordered[0] and got["quantiles"][-1] == ordered[-1]
+    for rank, value in zip((0.1, 0.5, 0.9), got["quantiles"][1:4]):
+        assert abs(sum(s <= value for s in ordered) / 5000 - rank) < 0.01
+    by_folder = scans.size_quantiles(profile, [0.5], ["folder"])
+    assert by_folder.count() == 7 and by_folder.agg(F.sum("file_count")).first()[0] == 5000

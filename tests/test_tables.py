@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -23,7 +24,7 @@ def table_of(spark, path, *batches, schema="id bigint, v string", partition_by=N
 
 def letters(spark, path):
     """Four commits of one row, as small files pile up."""
-    return table_of(spark, path, [(1, "a")], [(2, "b")], [(3, "c")], [(4, "d")])
+    return table_of(spark, path, [(1, "ash")], [(2, "birch")], [(3, "cedar")], [(4, "dogwood")])
 
 
 def rows(df):
@@ -37,9 +38,9 @@ def total(table):
 def test_versions_and_time_travel(spark, folder):
     table = letters(spark, folder())
     assert table.log.versions() == [0, 1, 2, 3, 4]
-    assert rows(table.read(version=2)) == [(1, "a"), (2, "b")]
+    assert rows(table.read(version=2)) == [(1, "ash"), (2, "birch")]
     first = table.snapshot(version=1)
-    assert rows(table.read(snapshot_id=first.snapshot_id)) == [(1, "a")]
+    assert rows(table.read(snapshot_id=first.snapshot_id)) == [(1, "ash")]
     assert [r["operation"] for r in table.history().orderBy("version").collect()] == ["create"] + ["append"] * 4
     assert table.read(version=0).count() == 0
     with pytest.raises(LookupError):
@@ -69,10 +70,10 @@ def test_append_matches_names_and_refuses_unknown_columns(spark, folder):
 
 
 def test_added_column_reads_null(spark, folder):
-    table = table_of(spark, folder(), [(1, "a")])
+    table = table_of(spark, folder(), [(1, "ash")])
     table.add_column("source", T.StringType())
-    table.append(spark.createDataFrame([(2, "b", "web")], "id bigint, v string, source string"))
-    assert rows(table.read()) == [(1, "a", None), (2, "b", "web")]
+    table.append(spark.createDataFrame([(2, "birch", "web")], "id bigint, v string, source string"))
+    assert rows(table.read()) == [(1, "ash", None), (2, "birch", "web")]
     assert table.read(version=1).columns == ["id", "v"]
 
 
@@ -86,7 +87,7 @@ def test_lost_race_raises(spark, folder):
 
 def test_replayed_batch_is_skipped(spark, folder):
     table = table_of(spark, folder())
-    batch = spark.createDataFrame([(1, "a")], "id bigint, v string")
+    batch = spark.createDataFrame([(1, "ash")], "id bigint, v string")
     assert table.append(batch, writer=("q", 0)) == 1
     assert table.append(batch, writer=("q", 0)) is None
     assert table.append(batch, writer=("other", 0)) == 2
@@ -99,7 +100,7 @@ def test_whole_commits_are_read_as_folders(spark, folder):
     rowops.delete_copy_on_write(table, F.col("id") == 2)
     changed = table.snapshot()
     assert len(changed.folders) == 4 and changed.file_list  # three untouched commits and the new one
-    assert rows(table.read()) == [(1, "a"), (3, "c"), (4, "d")]
+    assert rows(table.read()) == [(1, "ash"), (3, "cedar"), (4, "dogwood")]
 
 
 def test_partition_values_with_odd_characters(spark, folder):
@@ -116,7 +117,7 @@ def test_partition_values_with_odd_characters(spark, folder):
 def test_rewriting_a_table_from_itself(spark, folder):
     table = letters(spark, folder())
     table.overwrite(table.read().withColumn("v", F.upper("v")))
-    assert rows(table.read()) == [(1, "A"), (2, "B"), (3, "C"), (4, "D")]
+    assert rows(table.read()) == [(1, "ASH"), (2, "BIRCH"), (3, "CEDAR"), (4, "DOGWOOD")]
 
 
 # ---- merge and delete ---------------------------------------------------------
@@ -132,9 +133,9 @@ def event_table(spark, path):
 def test_merge(spark, folder):
     table = event_table(spark, folder())
     before = {r["path"] for r in table.data_files().collect()}
-    rowops.merge(table, spark.createDataFrame([(1, "click_v2"), (5, "scroll")], "id int, kind string"), ["id"], ["kind"])
+    rowops.merge(table, spark.createDataFrame([(1, "refund"), (5, "hover")], "id int, kind string"), ["id"], ["kind"])
     got = {r["id"]: (r["kind"], r["payload"]) for r in table.read().collect()}
-    assert got == {1: ("click_v2", "a"), 2: ("view", "b"), 3: ("click", "c"), 5: ("scroll", None)}
+    assert got == {1: ("refund", "a"), 2: ("view", "b"), 3: ("click", "c"), 5: ("hover", None)}
     assert len(before & {r["path"] for r in table.data_files().collect()}) == 1  # the untouched file
     assert total(table) == 4
 
@@ -150,7 +151,7 @@ def test_merge_inserts_null_keys_and_rejects_repeated_ones(spark, folder):
 
 
 def test_merge_can_set_null_and_updates_repeated_rows(spark, folder):
-    table = table_of(spark, folder(), [(1, "a"), (1, "b"), (2, "c")])
+    table = table_of(spark, folder(), [(1, "ash"), (1, "b"), (2, "c")])
     rowops.merge(table, spark.createDataFrame([(1, None)], "id int, v string"), ["id"], ["v"])
     assert rows(table.read()) == [(1, None), (1, None), (2, "c")]
 
@@ -159,15 +160,15 @@ def test_merge_after_position_deletes(spark, folder):
     table = letters(spark, folder())
     rowops.delete_merge_on_read(table, F.col("id") == 2)
     rowops.merge(table, spark.createDataFrame([(2, "again"), (3, "C")], "id int, v string"), ["id"], ["v"])
-    assert rows(table.read()) == [(1, "a"), (2, "again"), (3, "C"), (4, "d")] and total(table) == 4
+    assert rows(table.read()) == [(1, "ash"), (2, "again"), (3, "C"), (4, "dogwood")] and total(table) == 4
 
 
 @pytest.mark.parametrize("delete", [rowops.delete_copy_on_write, rowops.delete_merge_on_read])
 def test_delete_keeps_rows_where_the_predicate_is_null(spark, folder, delete):
-    table = table_of(spark, folder(), [(1, "a"), (2, None), (3, "b")])
-    delete(table, F.col("v") == "a")
-    assert rows(table.read()) == [(2, None), (3, "b")] and total(table) == 2
-    assert rows(table.read(version=1)) == [(1, "a"), (2, None), (3, "b")]
+    table = table_of(spark, folder(), [(1, "ash"), (2, None), (3, "beech")])
+    delete(table, F.col("v") == "ash")
+    assert rows(table.read()) == [(2, None), (3, "beech")] and total(table) == 2
+    assert rows(table.read(version=1)) == [(1, "ash"), (2, None), (3, "beech")]
 
 
 def test_delete_without_matches_commits_nothing(spark, folder):
@@ -183,7 +184,7 @@ def test_position_deletes_leave_data_files_alone(spark, folder):
     rowops.delete_merge_on_read(table, F.col("id") >= 2)
     assert rows(table.data_files()) == before
     assert table.delete_files().agg(F.sum("record_count")).first()[0] == 3
-    assert rows(table.read()) == [(1, "a")] and total(table) == 1
+    assert rows(table.read()) == [(1, "ash")] and total(table) == 1
 
 
 # ---- maintenance ----------------------------------------------------------------
@@ -193,7 +194,7 @@ def test_compaction_merges_small_files(spark, folder):
     table = letters(spark, folder())
     assert upkeep.compact(table, min_input_files=5) == 4  # too few files
     upkeep.compact(table, min_input_files=2)
-    assert table.data_files().count() == 1 and rows(table.read()) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    assert table.data_files().count() == 1 and rows(table.read()) == [(1, "ash"), (2, "birch"), (3, "cedar"), (4, "dogwood")]
     assert total(table) == 4
 
 
@@ -231,6 +232,57 @@ def test_named_table(spark, folder):
     assert table.read().count() == 2  # a failed job leaves the rows
 
 
+def test_readers_see_old_rows_or_new_ones_at_any_moment(spark, folder):
+    """One thread reads while another publishes fifty times; a version's rows all carry its number."""
+    table = NamedTable(spark, fresh_name("shop"), "till", folder("shop"))
+
+    def version(n):
+        return spark.range(20).select(F.lit(n).cast("bigint").alias("v"))
+
+    table.overwrite(version(0))
+    seen, failures, done = [], [], threading.Event()
+
+    def poll(session):
+        while not done.is_set():
+            try:
+                got = session.table(table.name).agg(F.min("v"), F.max("v"), F.count("*")).first()
+                seen.append(tuple(got))
+            except Exception as failure:
+                failures.append(failure)
+
+    readers = [threading.Thread(target=poll, args=(session,)) for session in (spark, spark.newSession())]
+    for reader in readers:
+        reader.start()
+    for n in range(1, 51):
+        table.overwrite(version(n))
+    done.set()
+    for reader in readers:
+        reader.join()
+    assert not failures and len(seen) > 10
+    assert all(low == high and count == 20 for low, high, count in seen)
+    assert table.read().first()["v"] == 50
+
+
+def test_rows_of_another_schema_are_declared_anew(spark, folder):
+    table = NamedTable(spark, fresh_name("shop"), "till", folder("shop"))
+    table.overwrite(spark.range(3))
+    table.overwrite(spark.range(2).withColumn("more", F.lit("x")))
+    assert table.read().columns == ["id", "more"] and table.read().count() == 2
+    table.vacuum()
+    assert table.read().count() == 2
+
+
+def test_failure_before_the_swap_keeps_the_old_rows(spark, folder, monkeypatch):
+    table = NamedTable(spark, fresh_name("shop"), "till", folder("shop"))
+    table.overwrite(spark.range(3))
+    monkeypatch.setattr(NamedTable, "exists", lambda self: (_ for _ in ()).throw(RuntimeError("power cut")))
+    with pytest.raises(RuntimeError, match="power cut"):
+        table.overwrite(spark.range(9))
+    monkeypatch.undo()
+    assert table.read().count() == 3
+    assert table.overwrite(spark.range(9)) == 9 and table.read().count() == 9
+
+
 def test_delete_repair_sequence(spark, folder):
     table = letters(spark, folder())
     upkeep.compact(table, min_input_files=2)
@@ -242,7 +294,7 @@ def test_delete_repair_sequence(spark, folder):
     assert table.delete_files().count() == 0
     dropped = upkeep.expire_snapshots(table, FUTURE, retain_last=1, dry_run=False)
     assert dropped.count() > 0 and table.log.versions() == [table.snapshot().version]
-    assert rows(table.read()) == [(1, "a"), (3, "c"), (4, "d")] and total(table) == 3
+    assert rows(table.read()) == [(1, "ash"), (3, "cedar"), (4, "dogwood")] and total(table) == 3
     on_disk = upkeep.listing(table, ["data", "deletes"])
     assert rows(on_disk.select("path")) == rows(table.data_files().select("path"))
 
@@ -250,9 +302,9 @@ def test_delete_repair_sequence(spark, folder):
 def test_dangling_cleanup_keeps_live_positions(spark, folder):
     table = letters(spark, folder())
     rowops.delete_merge_on_read(table, F.col("id").isin(2, 3))
-    rowops.delete_copy_on_write(table, F.col("v") == "c")  # nothing left to match: no commit
+    rowops.delete_copy_on_write(table, F.col("v") == "cedar")  # nothing left to match: no commit
     upkeep.drop_dangling_deletes(table)
-    assert rows(table.read()) == [(1, "a"), (4, "d")]
+    assert rows(table.read()) == [(1, "ash"), (4, "dogwood")]
 
 
 def test_expiry_keeps_shared_files_and_recent_versions(spark, folder):
@@ -262,9 +314,9 @@ def test_expiry_keeps_shared_files_and_recent_versions(spark, folder):
     assert preview.count() == 1 and len(table.log.versions()) == 6  # dry run
     upkeep.expire_snapshots(table, FUTURE, retain_last=2, dry_run=False)
     assert table.log.versions() == [4, 5]
-    assert rows(table.read(version=4)) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    assert rows(table.read(version=4)) == [(1, "ash"), (2, "birch"), (3, "cedar"), (4, "dogwood")]
     upkeep.expire_snapshots(table, FUTURE, retain_last=1, dry_run=False)
-    assert rows(table.read()) == [(1, "a"), (3, "c"), (4, "d")]
+    assert rows(table.read()) == [(1, "ash"), (3, "cedar"), (4, "dogwood")]
     assert not fs.exists(spark, f"{table.root}/{preview.first()['path']}")
     long_ago = datetime(2000, 1, 1, tzinfo=timezone.utc)
     assert upkeep.expire_snapshots(table, long_ago, dry_run=False).count() == 0
