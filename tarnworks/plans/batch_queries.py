@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions.fixed_values import RELATIONAL_SOURCE
 from tarnworks.functions.money import money_total
-from tarnworks.operators import conform, distribution, marts, numbering, quality, reconcile
+from tarnworks.operators import conform, distincts, distribution, marts, numbering, quality, reconcile
 from tarnworks.plans import aggregate_etl, inputs, operational_db
 from tarnworks.sources import files, generators, jdbc
+from tarnworks.tables.named import NamedTable
 from tarnworks.tables.versioned import VersionedTable
-from tarnworks.workspace import fresh_dir, stage
+from tarnworks.workspace import fresh_dir, fresh_name, stage
 
 SEGMENTS = 4
 
@@ -39,6 +40,31 @@ def mart_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(landing_union(spark, sf_dir), inputs.loaded_at())
 
 
+def _stored(spark: SparkSession, rows: DataFrame, label: str) -> NamedTable:
+    table = NamedTable(spark, fresh_name(label), label, fresh_dir(spark, label))
+    table.overwrite(rows)
+    return table
+
+
+def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct ids of each source by quarter, and over all time, both from one table of monthly bitmaps."""
+    bitmaps = _stored(spark, distincts.id_bitmaps(landing_union(spark, sf_dir), ["_source", "month"], "id"), "id_bitmaps").read()
+    quarter = F.trunc("month", "quarter").alias("quarter")
+    whole = distincts.distinct_ids(bitmaps, ["_source"]).withColumn("quarter", F.lit(None).cast("date"))
+    return distincts.distinct_ids(bitmaps, ["_source", quarter]).unionByName(whole)
+
+
+def approx_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct ids of each source by year, estimated from a table of monthly sketches, held against the exact number."""
+    landing = landing_union(spark, sf_dir)
+    sketches = _stored(spark, distincts.id_sketches(landing, ["_source", "month"], "id"), "id_sketches").read()
+    year = F.trunc("month", "year").alias("year")
+    exact = distincts.distinct_ids(distincts.id_bitmaps(landing, ["_source", "month"], "id"), ["_source", year], "exact_cnt")
+    both = exact.join(distincts.estimated_ids(sketches, ["_source", year]), ["_source", "year"])
+    near = F.abs(F.col("ids_cnt") - F.col("exact_cnt")) <= F.col("exact_cnt") * 0.02
+    return both.select("_source", "year", "exact_cnt", near.alias("within_2_percent"))
+
+
 def order_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_quality(spark, sf_dir).orderBy("_source", F.col("month").asc_nulls_first())
 
@@ -162,6 +188,8 @@ QUERIES = {
     "region_stats_total": lambda spark, d: marts.region_stats_total(inputs.sales(spark, d)),
     "one_region_stats": lambda spark, d: marts.one_region_stats(inputs.sales(spark, d), "ASIA"),
     "approx_regions": lambda spark, d: marts.approx_regions(inputs.sales(spark, d)),
+    "distinct_ids": distinct_ids,
+    "approx_distinct_ids": approx_distinct_ids,
     "distinct_regions": lambda spark, d: marts.distinct_regions(inputs.sales(spark, d)),
     "weekday_split": lambda spark, d: marts.weekday_split(inputs.sales(spark, d)),
     "order_by": order_by,

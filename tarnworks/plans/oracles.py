@@ -253,6 +253,13 @@ ORACLES = {
         FROM (SELECT count(*) AS n, {_ROUNDED} AS t FROM landing_sales GROUP BY region)"""),
     "approx_regions": _with(
         ["landing_sales"], "SELECT count(*) AS rows_cnt, count(DISTINCT region) AS regions_cnt FROM landing_sales"),
+    "distinct_ids": _with(["landing_all"], """
+        SELECT _source, CAST(date_trunc('quarter', month) AS DATE) AS quarter, count(DISTINCT id) AS ids_cnt
+        FROM landing_all GROUP BY 1, 2
+        UNION ALL SELECT _source, CAST(NULL AS DATE), count(DISTINCT id) FROM landing_all GROUP BY 1"""),
+    "approx_distinct_ids": _with(["landing_all"], """
+        SELECT _source, CAST(date_trunc('year', month) AS DATE) AS year, count(DISTINCT id) AS exact_cnt, true AS within_2_percent
+        FROM landing_all GROUP BY 1, 2"""),
     "distinct_regions": _with(["landing_sales"], "SELECT DISTINCT region FROM landing_sales"),
     "weekday_split": _with(["landing_sales"], """
         SELECT isodow(sale_date) >= 6 AS is_weekend, count(*) AS rows_cnt,
