@@ -14,7 +14,8 @@ from tarnworks.operators.marts import totals_by_region_product
 from tarnworks.plans import inputs, medallion
 from tarnworks.sources import files, generators
 from tarnworks.tables import days, rowops, upkeep
-from tarnworks.tables.partitioned import PartitionedTable
+from tarnworks.tables.named import NamedTable
+from tarnworks.tables.partitioned import DayTable, PartitionedTable
 from tarnworks.tables.versioned import VersionedTable
 from tarnworks.workspace import fresh_dir, fresh_name
 
@@ -67,36 +68,40 @@ def events_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
 # ---- sinks ------------------------------------------------------------------
 
 
+def new_named(spark: SparkSession, label: str) -> NamedTable:
+    return NamedTable(spark, fresh_name(label), label, fresh_dir(spark, label))
+
+
 def write_replace(spark, sf_dir):
-    table = new_table(spark, "replaced")
+    table = new_named(spark, "replaced")
     table.overwrite(inputs.sales_events(spark, sf_dir))
     table.overwrite(totals(spark, sf_dir))
     return table.read()
 
 
 def create_if_absent(spark, sf_dir):
-    """Row counts after creating, filling and creating again."""
+    """Rows read back after creating, filling and creating again."""
     rows = inputs.sales_events(spark, sf_dir)
-    table = new_table(spark, "created")
+    table = new_named(spark, "created")
     seen = []
     for step in ("created", "filled", "created_again"):
         if step == "filled":
             table.append(rows)
         else:
             table.create(rows.schema)
-        seen.append((step, int(table.snapshot().summary["total-records"])))
+        seen.append((step, table.read().count()))
     return spark.createDataFrame(seen, "step string, rows_cnt bigint")
 
 
 def write_append(spark, sf_dir):
-    table = new_table(spark, "appended")
+    table = new_named(spark, "appended")
     table.overwrite(totals(spark, sf_dir))
     table.append(spark.sql("SELECT * FROM VALUES ('POLAR', 'sundries', 17.25), (NULL, 'sundries', 0.50) AS extra(region, product, total_amount)"))
     return table.read()
 
 
 def append_arrow(spark, sf_dir):
-    table = new_table(spark, "appended")
+    table = new_named(spark, "appended")
     table.overwrite(totals(spark, sf_dir))
     fields = pa.schema([("region", pa.string()), ("product", pa.string()), ("total_amount", pa.decimal128(22, 2))])
     late = [{"region": name, "product": "correction", "total_amount": Decimal(cents).scaleb(-2)} for name, cents in (("POLAR", -250), ("INLAND", 4075))]
@@ -111,28 +116,37 @@ def insert_select(spark, sf_dir):
         T.StructField("product", T.StringType()),
         T.StructField("amount", T.DecimalType(12, 2)),
     ])
-    table = new_table(spark, "copied").create(schema)
+    table = new_named(spark, "copied").create(schema)
     rows = inputs.sales(spark, sf_dir).select(*schema.names)
     table.append(rows)
     return table.read()
 
 
 def seed_if_empty(spark, sf_dir):
-    """Rows after each of two attempts; the second finds the table filled and leaves it."""
+    """Rows read back after each of two attempts; the second finds the table filled and leaves it."""
     keys = inputs.table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("g"))
     rows = generators.seed_sales(keys)
-    table = new_table(spark, "seeded").create(rows.schema)
+    table = new_named(spark, "seeded").create(rows.schema)
     seen = []
     for attempt in (1, 2):
-        if table.read().isEmpty():
-            table.append(rows)
-        seen.append((attempt, int(table.snapshot().summary["total-records"])))
+        table.seed(rows)
+        seen.append((attempt, table.read().count()))
     return spark.createDataFrame(seen, "attempt int, rows_cnt bigint")
 
 
+def _event_rows(spark, sf_dir) -> DataFrame:
+    return inputs.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_type").alias("kind"),
+        F.col("props").alias("payload"),
+    )
+
+
 def partition_by_day(spark, sf_dir):
     """A span of some days and hours, read from a table laid out by day."""
-    return days.between(_by_day(spark, sf_dir), "ts", "2024-01-02 06:00:00", "2024-01-11 18:00:00")
+    table = DayTable(spark, fresh_name("by_day"), "events", fresh_dir(spark, "by-day"), "ts").create(_event_rows(spark, sf_dir))
+    return table.between("2024-01-02 06:00:00", "2024-01-11 18:00:00")
 
 
 def landing_fallback(spark, sf_dir):
@@ -296,12 +310,7 @@ def table_files(spark, sf_dir):
 
 
 def _by_day(spark, sf_dir) -> VersionedTable:
-    rows = inputs.table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("event_type").alias("kind"),
-        F.col("props").alias("payload"),
-    )
+    rows = _event_rows(spark, sf_dir)
     table = days.create(new_table(spark, "by-day"), rows.schema, "ts")
     days.append(table, rows, "ts")
     return table

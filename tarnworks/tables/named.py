@@ -49,6 +49,24 @@ class NamedTable:
         self.spark.catalog.createTable(self.name, path=folder, source="parquet", schema=schema)
         return seen.get["rows"]
 
+    def append(self, df: DataFrame) -> int:
+        """Add rows, matched by column name, absent columns NULL; returns their number, counted in the stage that writes them."""
+        fields = self.read().schema.fields
+        unknown = set(df.columns) - {f.name for f in fields}
+        if unknown:
+            raise ValueError(f"columns not in the table: {sorted(unknown)}")
+        seen = Observation()
+        typed = df.select(*[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+        ])
+        typed.observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(self.name)
+        self.spark.catalog.refreshTable(self.name)
+        return seen.get["rows"]
+
+    def seed(self, df: DataFrame) -> int:
+        """Fill the table if it has no rows; returns how many came in."""
+        return self.append(df) if self.read().isEmpty() else 0
+
     def vacuum(self) -> None:
         """Remove the folders of earlier versions."""
         current = self.spark.sql(f"DESCRIBE EXTENDED {self.name}").where("col_name = 'Location'").first()["data_type"]

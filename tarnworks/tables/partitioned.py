@@ -143,6 +143,21 @@ class PartitionedTable:
         self.spark.catalog.refreshTable(self.name)
 
 
+class DayTable(PartitionedTable):
+    """Rows lie by the day of a timestamp column; a span of time opens the files of its days only."""
+
+    def __init__(self, spark: SparkSession, database: str, name: str, root: str, ts: str):
+        super().__init__(spark, database, name, root, F.to_date(ts), [ts])
+        self.ts = ts
+
+    def between(self, low: str, high: str) -> DataFrame:
+        """Rows with low <= ts < high."""
+        start, end = (F.lit(bound).cast("timestamp") for bound in (low, high))
+        days = F.col(PART).between(F.to_date(start).cast("string"), F.to_date(end).cast("string"))
+        ts = F.col(self.ts)
+        return self.spark.table(self.name).where(days & (ts >= start) & (ts < end)).drop(PART)
+
+
 class _Staging:
     """Intermediate tables in the shared folder, removed when the change is done."""
 

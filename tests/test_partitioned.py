@@ -140,3 +140,20 @@ def test_size_sketches_merge_over_folders(spark):
         assert abs(sum(s <= value for s in ordered) / 5000 - rank) < 0.01
     by_folder = scans.size_quantiles(profile, [0.5], ["folder"])
     assert by_folder.count() == 7 and by_folder.agg(F.sum("file_count")).first()[0] == 5000
+
+
+def test_days_prune_partitions(spark):
+    from datetime import datetime, timedelta
+
+    from tarnworks.tables.partitioned import DayTable
+
+    database = fresh_name("days")
+    rows = spark.createDataFrame([(h, datetime(2024, 1, 1) + timedelta(hours=h)) for h in range(96)] + [(None, None)], "id int, ts timestamp")
+    table = DayTable(spark, database, "hours", fresh_dir(spark, "days"), "ts").create(rows)
+    got = table.between("2024-01-02 06:00:00", "2024-01-03 12:00:00")
+    assert sorted(r["id"] for r in got.collect()) == list(range(30, 60)) and got.columns == ["id", "ts"]
+    assert len({f.split("_part=")[1].split("/")[0] for f in got.inputFiles()}) <= 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan
+    assert table.read().count() == 97
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")

@@ -283,6 +283,20 @@ def test_failure_before_the_swap_keeps_the_old_rows(spark, folder, monkeypatch):
     assert table.overwrite(spark.range(9)) == 9 and table.read().count() == 9
 
 
+def test_append_to_a_named_table(spark, folder):
+    table = NamedTable(spark, fresh_name("shop"), "till", folder("shop")).create(T._parse_datatype_string("id bigint, v string, n decimal(10,2)"))
+    assert table.append(spark.createDataFrame([("x", 1)], "v string, id int")) == 1  # by name, absent columns NULL
+    with pytest.raises(ValueError, match="not in the table"):
+        table.append(spark.range(1).withColumn("other", F.lit(1)))
+    with pytest.raises(Exception):
+        table.append(spark.range(3).withColumn("v", F.raise_error(F.lit("broken")).cast("string")))
+    assert rows(table.read()) == [(1, "x", None)]
+    assert table.seed(spark.range(5)) == 0 and table.read().count() == 1
+    empty = NamedTable(spark, fresh_name("shop"), "till", folder("shop")).create(T._parse_datatype_string("id bigint"))
+    assert empty.seed(spark.range(5)) == 5 and empty.read().count() == 5
+    assert empty.append(empty.read()) == 5 and empty.read().count() == 10  # rows of its own
+
+
 def test_delete_repair_sequence(spark, folder):
     table = letters(spark, folder())
     upkeep.compact(table, min_input_files=2)
