@@ -8,6 +8,7 @@ both kinds of select. All queries take arrays.
 from __future__ import annotations
 
 import json
+from functools import cached_property
 
 import numpy as np
 
@@ -59,20 +60,33 @@ class Sequence:
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.bits = (int(x) for x in arrays["shape"])
-        self.high, self.low, self.ones = arrays["high"], arrays["low"], arrays["ranks"]
-        self.zeros = np.arange(len(self.ones), dtype=np.int64) * (64 * _BLOCK) - self.ones
+        self.high, self.low, self._ranks = arrays["high"], arrays["low"], arrays["ranks"]
+
+    @cached_property
+    def ones(self) -> np.ndarray:
+        """Set bits before each word. The stored directory holds every eighth; with all, a select is one search and one word."""
+        within = np.cumsum(np.bitwise_count(self.high).reshape(-1, _BLOCK), axis=1, dtype=np.int64)
+        return np.concatenate([[0], (self._ranks[:-1, None] + within).ravel()])
+
+    @cached_property
+    def zeros(self) -> np.ndarray:
+        return np.arange(len(self.high) + 1, dtype=np.int64) * 64 - self.ones
 
     def _select(self, nth: np.ndarray, directory: np.ndarray, flip: bool) -> np.ndarray:
-        block = np.searchsorted(directory, nth, side="right") - 1
-        words = self.high[block[:, None] * _BLOCK + np.arange(_BLOCK)]
-        if flip:
-            words = ~words
-        filled = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        rest = nth - directory[block]
-        word = (filled <= rest[:, None]).sum(axis=1)
-        rows = np.arange(len(nth))
-        rest = rest - np.where(word > 0, filled[rows, word - 1], 0)
-        return (block * _BLOCK + word) * 64 + _select_in_words(words[rows, word], rest)
+        word = np.searchsorted(directory, nth, side="right") - 1
+        bits = self.high[word]
+        return word * 64 + _select_in_words(~bits if flip else bits, nth - directory[word])
+
+    def _next_zero(self, position: np.ndarray, nth: np.ndarray) -> np.ndarray:
+        """Position of the zero bit after the one at ``position``; ``nth`` is its number."""
+        word, bit = position >> 6, (position & 63).astype(np.uint64)
+        # bits above the known zero, that one itself read as set: the ones up to the next zero
+        rest = ~((self.high[word] >> bit) | _U1) & (~np.uint64(0) >> bit)
+        ones = np.bitwise_count((rest & (~rest + _U1)) - _U1).astype(np.int64)
+        after = position + ones
+        beyond = np.flatnonzero(rest == 0)  # it lies in a later word
+        after[beyond] = self._select(nth[beyond], self.zeros, True)
+        return after
 
     def _low_at(self, index: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -104,10 +118,13 @@ class Sequence:
             high = (part >> np.uint64(self.bits)).astype(np.int64)
             inside = np.flatnonzero(high < last)  # high parts beyond the vector exceed every element
             high, low = high[inside], (part & np.uint64((1 << self.bits) - 1))[inside]
-            begin = np.zeros(len(high), dtype=np.int64)
-            later = high > 0
-            begin[later] = self._select(high[later] - 1, self.zeros, True) + 1 - high[later]
-            end = np.minimum(self._select(high, self.zeros, True) - high, self.n)
+            begin, end = np.zeros(len(high), dtype=np.int64), np.empty(len(high), dtype=np.int64)
+            later = np.flatnonzero(high > 0)
+            zero = self._select(high[later] - 1, self.zeros, True)
+            begin[later] = zero + 1 - high[later]
+            end[later] = self._next_zero(zero, high[later]) - high[later]
+            end[high == 0] = self._select(np.zeros(1, dtype=np.int64), self.zeros, True)
+            end = np.minimum(end, self.n)
             # inside the bucket the low bits are in order; a crowded context can fill a bucket, so halve it
             left, right = begin, end.copy()
             open_ = np.flatnonzero(left < right)

@@ -14,6 +14,9 @@ Smoothing is interpolated absolute discounting, p(w|c) = (n(cw) - D) / n(c) + D
 with T(c), the number of different followers, being the difference of two pointers; the last resort is the
 add-half unigram estimate, so unseen words have a probability as well.
 
+Texts are split and their words looked up once; the staged places, a few bytes a token, serve every later pass. Scoring climbs
+the trie level by level: a pair's place in one level is the context of the next.
+
 Counting combines in each task before anything is shuffled: level 1 by hash, higher levels as blocks of
 sorted, differenced n-grams cut at shard bounds. Bounds come from the exact counts of the contexts and cut
 through the followers of a frequent word, so no word, however common, puts its n-grams into one task.
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -44,6 +48,7 @@ FOLD, FOLDS = 1, 5
 WORDS_PER_SHARD = 1 << 18
 TOKENS_PER_SHARD = 1 << 21
 TOKENS_PER_BLOCK = 1 << 21
+TOKENS_AT_ONCE = 3 << 18
 KNOWN_WORDS = 300_000
 LEVELS_16 = 65535
 END = b""
@@ -85,6 +90,23 @@ def _mass_points(counts: np.ndarray, points: int = 128) -> tuple[list[int], list
     return at.tolist(), running[at].tolist()
 
 
+def _by_shard(shards: list[dict], places: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each shard that holds some of the sorted places, and which of them."""
+    cuts = np.append(np.searchsorted(places, [s["offset"] for s in shards]), len(places))
+    for number in np.flatnonzero(np.diff(cuts)).tolist():
+        yield number, slice(cuts[number], cuts[number + 1])
+
+
+def _pair_cuts(contexts: np.ndarray, words: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Where the sorted (context, word) pairs reach each bound, and their end."""
+    cuts = np.searchsorted(contexts, [b[0] for b in bounds], side="left")
+    for i, (context, word) in enumerate(bounds):
+        if word:
+            run = slice(*np.searchsorted(contexts, [context, context + 1]))
+            cuts[i] = run.start + np.searchsorted(words[run], word)
+    return np.append(cuts, len(contexts))
+
+
 class WordLevel:
     """Level 1 over its shards: words to (place, count)."""
 
@@ -114,13 +136,11 @@ class WordLevel:
         return place, count
 
     def counts(self, places: np.ndarray) -> np.ndarray:
+        """Counts of sorted places."""
         out = np.zeros(len(places), dtype=np.int64)
-        starts = np.array([s["offset"] for s in self.shards])
-        owner = np.searchsorted(starts, places, side="right") - 1
-        for number in np.unique(owner):
-            mine = owner == number
-            _, running = self._shard(int(number))
-            local = places[mine] - starts[number]
+        for number, mine in _by_shard(self.shards, places):
+            _, running = self._shard(number)
+            local = places[mine] - self.shards[number]["offset"]
             out[mine] = (running.get(local + 1) - running.get(local)).astype(np.int64)
         return out
 
@@ -148,57 +168,41 @@ class GramLevel:
             )
         return self.open[number]
 
-    def _owners(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        first = np.array([b[0] for b in self.bounds])
-        second = np.array([b[1] for b in self.bounds])
-        owner = np.searchsorted(first, contexts, side="right") - 1
-        low = np.searchsorted(first, contexts, side="left")
-        several = np.flatnonzero(owner > low)  # a frequent context can begin more than one shard
-        for start in np.unique(low[several]):
-            mine = several[low[several] == start]
-            span = slice(start, owner[mine[0]] + 1)
-            owner[mine] = start + np.searchsorted(second[span], words[mine], side="right") - 1
-        begins = np.flatnonzero((owner == low) & (owner >= 0))
-        begins = begins[(first[owner[begins]] == contexts[begins]) & (words[begins] < second[owner[begins]])]
-        owner[begins] -= 1
-        return owner
-
     def find(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted pairs to (place or -1, discounted probability, number of the context's followers)."""
         place = np.full(len(contexts), -1, dtype=np.int64)
         share = np.zeros(len(contexts))
         followers = np.zeros(len(contexts), dtype=np.int64)
-        owner = self._owners(contexts, words)
-        for number in np.unique(owner):
-            mine = np.flatnonzero(owner == number)
-            pointers, children, codes, facts, _ = self._shard(int(number))
+        cuts = _pair_cuts(contexts, words, self.bounds)
+        for number in np.flatnonzero(np.diff(cuts)).tolist():
+            own = slice(cuts[number], cuts[number + 1])
+            pointers, children, codes, facts, _ = self._shard(number)
+            inside = np.searchsorted(contexts[own], [facts["first"], facts["first"] + facts["contexts"]]) + own.start
+            mine = slice(*inside.tolist())
             local = contexts[mine] - facts["first"]
-            inside = (local >= 0) & (local < facts["contexts"])
-            if not inside.any():
+            if not len(local):
                 continue
-            mine, local = mine[inside], local[inside]
-            distinct, back = np.unique(local, return_inverse=True)
+            new = np.diff(local, prepend=-1) > 0
+            distinct, back = local[new], np.cumsum(new) - 1
             ends = pointers.get(np.concatenate([distinct, distinct + 1])).astype(np.int64)
             begin, end = ends[: len(distinct)][back], ends[len(distinct) :][back]
             followers[mine] = end - begin
             base = local.astype(np.uint64) * np.uint64(self.vocabulary)
             at, known = children.successor(base + words[mine].astype(np.uint64))
             known &= (at >= begin) & (at < end)
-            place[mine[known]] = at[known] + self.shards[int(number)]["offset"]
-            share[mine[known]] = 10.0 ** (facts["floor"] + codes[at[known]] * facts["step"])
+            place[mine][known] = at[known] + self.shards[number]["offset"]
+            share[mine][known] = 10.0 ** (facts["floor"] + codes[at[known]] * facts["step"])
         edge = np.minimum(np.searchsorted(self.split, contexts), len(self.split) - 1)
         at_edge = self.split[edge] == contexts
         followers[at_edge] = self.split_followers[edge[at_edge]]
         return place, share, followers
 
     def counts(self, places: np.ndarray) -> np.ndarray:
+        """Counts of sorted places."""
         out = np.zeros(len(places), dtype=np.int64)
-        starts = np.array([s["offset"] for s in self.shards])
-        owner = np.searchsorted(starts, places, side="right") - 1
-        for number in np.unique(owner):
-            mine = owner == number
-            running = self._shard(int(number))[4]
-            local = places[mine] - starts[number]
+        for number, mine in _by_shard(self.shards, places):
+            running = self._shard(number)[4]
+            local = places[mine] - self.shards[number]["offset"]
             out[mine] = (running.get(local + 1) - running.get(local)).astype(np.int64)
         return out
 
@@ -229,45 +233,93 @@ class Lookup:
 
 
 def _pair_order(contexts: np.ndarray, words: np.ndarray, vocabulary: int):
-    """Distinct pairs in order, their counts and each pair's number among them."""
+    """Distinct pairs in order and each pair's number among them."""
     top = int(contexts.max()) + 1 if len(contexts) else 1
     if top * vocabulary < 1 << 63:
-        merged, back, counts = np.unique(contexts * vocabulary + words, return_inverse=True, return_counts=True)
-        return merged // vocabulary, merged % vocabulary, counts, back
-    pairs, back, counts = np.unique(np.stack([contexts, words], axis=1), axis=0, return_inverse=True, return_counts=True)
-    return pairs[:, 0], pairs[:, 1], counts, back
+        merged, back = np.unique(contexts * vocabulary + words, return_inverse=True)
+        return merged // vocabulary, merged % vocabulary, back
+    pairs, back = np.unique(np.stack([contexts, words], axis=1), axis=0, return_inverse=True)
+    return pairs[:, 0], pairs[:, 1], back
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes], np.ndarray]]:
-    """Rows in groups of about TOKENS_PER_BLOCK / 4 tokens: (keys, tokens, end of each text)."""
-    keys, tokens, ends = [], [], []
-    for batch in batches:
-        for key, text in zip(batch["id"], batch["text"]):
-            tokens += words_of(text)
-            tokens.append(END)
-            keys.append(key)
-            ends.append(len(tokens))
-            if len(tokens) >= TOKENS_PER_BLOCK // 4:
-                yield keys, tokens, np.array(ends)
-                keys, tokens, ends = [], [], []
-    if keys:
-        yield keys, tokens, np.array(ends)
-
-
-def _contexts(levels: list[GramLevel], places: np.ndarray, ends: np.ndarray, end_place: int, words: np.ndarray) -> np.ndarray:
-    """Place in the highest given level of the n-gram before each token; -1 where there is none."""
-    first = np.concatenate([[0], ends[:-1]])
-    context = np.concatenate([[end_place], places[:-1]])  # an end token stands before every text
-    context[first] = end_place
-    for depth, level in enumerate(levels, start=1):
-        longer = np.full(len(places), -1, dtype=np.int64)
-        usable = np.flatnonzero((context >= 0) & (places >= 0))
-        if len(usable):
-            c, w, _, back = _pair_order(context[usable], places[usable], level.vocabulary)
-            longer[usable] = level.find(c, w)[0][back]
-        context = np.concatenate([[-1], longer[:-1]])
-        context[first] = -1
-    return context
+def _pair_counts(contexts: np.ndarray, words: np.ndarray, vocabulary: int):
+    """Distinct pairs in order and their counts."""
+    top = int(contexts.max()) + 1 if len(contexts) else 1
+    if top * vocabulary < 1 << 63:
+        merged, counts = np.unique(contexts * vocabulary + words, return_counts=True)
+        return merged // vocabulary, merged % vocabulary, counts
+    pairs, counts = np.unique(np.stack([contexts, words], axis=1), axis=0, return_counts=True)
+    return pairs[:, 0], pairs[:, 1], counts
+
+
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Arrays of whole numbers as compressed planes of equal bytes, which shrink far better than whole integers."""
+    planes = [np.array([len(columns), *map(len, columns)], dtype="<i8").view(np.uint8)]
+    planes += [np.ascontiguousarray(x, dtype="<i8").view(np.uint8).reshape(-1, 8).T.ravel() for x in columns]
+    return zstandard.compress(np.concatenate(planes).tobytes(), 1)
+
+
+def _loosened(block: bytes) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.decompress(block), dtype=np.uint8)
+    count = int(data[:8].view("<i8")[0])
+    lengths, at, columns = data[8 : 8 * (count + 1)].view("<i8"), 8 * (count + 1), []
+    for n in lengths.tolist():
+        columns.append(np.ascontiguousarray(data[at : at + 8 * n].reshape(8, -1).T).view("<i8").ravel())
+        at += 8 * n
+    return columns
+
+
+class Coded:
+    """A block of texts: the places of their tokens in level 1, and how often each was learnt."""
+
+    def __init__(self, block: bytes):
+        distinct, counts, token, self.ends = _loosened(block)
+        self.places, self.counts = distinct[token], counts[token]
+        self.starts = np.concatenate([[0], self.ends[:-1]])
+
+    def before(self, values: np.ndarray, first: int) -> np.ndarray:
+        """Each token's predecessor's value, ``first`` for the first token of a text."""
+        moved = np.concatenate([[first], values[:-1]])
+        moved[self.starts] = first
+        return moved
+
+
+def code(texts: DataFrame, model: NgramModel) -> DataFrame:
+    """(ids, learnt, block) from (id, text, learnt): texts are split and looked up once, all other passes read blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(model.word_level())
+        held: dict[bool, tuple[list, list, list]] = {True: ([], [], []), False: ([], [], [])}
+        size = {True: 0, False: 0}
+
+        def flush(learnt: bool) -> pa.RecordBatch:
+            ids, tokens, lengths = held[learnt]
+            held[learnt], size[learnt] = ([], [], []), 0
+            coded = pa.chunked_array(tokens, pa.binary()).combine_chunks().dictionary_encode()
+            places, counts = lookup(coded.dictionary.to_pylist())
+            distinct, first, token = np.unique(places, return_index=True, return_inverse=True)
+            block = _squeezed(distinct, counts[first], token[coded.indices.to_numpy()], np.cumsum(lengths))
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), pa.array([learnt]), pa.array([block], pa.binary())], ["ids", "learnt", "block"])
+
+        kind = pa.null()
+        for batch in batches:
+            kind = batch.schema.field("id").type
+            for at in range(batch.num_rows):
+                learnt = batch.column("learnt")[at].as_py()
+                ids, tokens, lengths = held[learnt]
+                words = words_of(batch.column("text")[at].as_py())
+                words.append(END)
+                tokens.append(pa.array(words, pa.binary()))
+                ids.append(batch.column("id")[at].as_py())
+                lengths.append(len(words))
+                size[learnt] += len(words)
+                if size[learnt] >= TOKENS_AT_ONCE:
+                    yield flush(learnt)
+        for learnt in (True, False):
+            if held[learnt][0]:
+                yield flush(learnt)
+
+    return texts.mapInArrow(run, f"ids array<{texts.schema['id'].dataType.simpleString()}>, learnt boolean, block binary")
 
 
 class NgramModel:
@@ -280,6 +332,15 @@ class NgramModel:
     def word_level(self) -> WordLevel:
         return WordLevel(self.folder, self.words, self.shift)
 
+    def end_place(self) -> int:
+        return int(self._end()[0][0])
+
+    def end_count(self) -> int:
+        return int(self._end()[1][0])
+
+    def _end(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.word_level().find(np.array([word_hash(END)], dtype=np.uint64))
+
     def gram_levels(self) -> list[GramLevel]:
         return [GramLevel(self.folder, shards, self.vocabulary) for shards in self.grams]
 
@@ -348,50 +409,43 @@ def _bounds(model: NgramModel) -> list[tuple[int, int]]:
     return bounds
 
 
-def _train_level(texts: DataFrame, model: NgramModel, end_place: int, keep_counts: bool, scratch: Scratch) -> None:
+def _train_level(coded: DataFrame, model: NgramModel, end_place: int, keep_counts: bool, scratch: Scratch) -> None:
     bounds, folder, level = _bounds(model), model.folder, len(model.grams) + 2
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, levels = Lookup(model.word_level()), model.gram_levels()
-        firsts = np.array([b[0] for b in bounds])
-        seconds = np.array([b[1] for b in bounds])
-        squeeze = zstandard.ZstdCompressor(level=1)
+        levels = model.gram_levels()
         held: list[np.ndarray] = []
 
         def flush() -> pd.DataFrame:
-            context, word = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            c, w, n = _pair_counts(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), model.vocabulary)
             held.clear()
-            c, w, n, _ = _pair_order(context, word, model.vocabulary)
-            cuts = np.searchsorted(c, firsts, side="left")
-            for i in np.flatnonzero(seconds):
-                run = slice(*np.searchsorted(c, [firsts[i], firsts[i] + 1]))
-                cuts[i] = run.start + np.searchsorted(w[run], seconds[i])
-            cuts = np.append(cuts, len(c))
+            cuts = _pair_cuts(c, w, bounds)
             rows = []
             for i in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[i], cuts[i + 1])
-                columns = [np.diff(c[part], prepend=0), w[part].astype(np.int64), n[part].astype(np.int64)]
-                # planes of equal bytes compress far better than whole integers
-                planes = np.concatenate([x.view(np.uint8).reshape(-1, 8).T.ravel() for x in columns])
-                rows.append((int(i), squeeze.compress(planes.tobytes())))
+                rows.append((int(i), _squeezed(np.diff(c[part], prepend=0), w[part], n[part])))
             return pd.DataFrame(rows, columns=["shard", "block"])
 
-        for _, tokens, ends in _chunks(batches):
-            places, _ = lookup(tokens)
-            context = _contexts(levels, places, ends, end_place, places)
-            usable = context >= 0
-            held.append(np.stack([context[usable], places[usable]]))
-            if sum(h.shape[1] for h in held) >= TOKENS_PER_BLOCK:
-                yield flush()
+        for batch in batches:
+            for block in batch["block"]:
+                texts = Coded(block)
+                context = texts.before(texts.places, end_place)
+                for level_below in levels:  # a place in the level below is the next token's context
+                    longer = np.full(len(context), -1, dtype=np.int64)
+                    usable = np.flatnonzero(context >= 0)
+                    c, w, back = _pair_order(context[usable], texts.places[usable], model.vocabulary)
+                    longer[usable] = level_below.find(c, w)[0][back]
+                    context = texts.before(longer, -1)
+                usable = context >= 0
+                held.append(np.stack([context[usable], texts.places[usable]]))
+                if sum(h.shape[1] for h in held) >= TOKENS_PER_BLOCK:
+                    yield flush()
         if held:
             yield flush()
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         number = int(rows["shard"].iloc[0])
-        parts = []
-        for block in rows["block"]:
-            planes = np.frombuffer(zstandard.decompress(block), dtype=np.uint8).reshape(3, 8, -1)
-            parts.append([np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes])
+        parts = [_loosened(block) for block in rows["block"]]
         c = np.concatenate([np.cumsum(p[0]) for p in parts])
         w = np.concatenate([p[1] for p in parts])
         first = int(c.min())
@@ -425,7 +479,7 @@ def _train_level(texts: DataFrame, model: NgramModel, end_place: int, keep_count
         })
 
     built = scratch.stage(
-        texts.mapInPandas(gather, "shard bigint, block binary").groupBy("shard").applyInPandas(
+        coded.select("block").mapInPandas(gather, "shard bigint, block binary").groupBy("shard").applyInPandas(
             build, "shard bigint, name string, n bigint, at array<bigint>, mass array<bigint>, edges map<string,bigint>"
         ),
         f"gram-shards-{level}",
@@ -434,63 +488,70 @@ def _train_level(texts: DataFrame, model: NgramModel, end_place: int, keep_count
     model.grams.append(_offsets(rows))
 
 
-def train(texts: DataFrame, scratch: Scratch, order: int = ORDER) -> NgramModel:
-    """texts: (id, text). Returns the model; its files stay in the scratch folder."""
-    model = _train_words(texts, scratch)
+def train(texts: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[NgramModel, DataFrame]:
+    """texts: (id, text, learnt). Learns from the rows marked so. Returns the model and all rows coded for it, for ``score``;
+    the files of both stay in the scratch folder."""
+    model = _train_words(texts.where("learnt"), scratch)
+    coded = scratch.stage(code(texts, model), "coded")
     if model.tokens:
-        end_place = int(model.word_level().find(np.array([word_hash(END)], dtype=np.uint64))[0][0])
+        end_place = model.end_place()
         for level in range(2, order + 1):
-            _train_level(texts, model, end_place, level < order, scratch)
-    return model
+            _train_level(coded.where("learnt"), model, end_place, level < order, scratch)
+    return model, coded
 
 
-def score(texts: DataFrame, model: NgramModel) -> DataFrame:
-    """(id, n_tokens, n_known, base_score, score) for every row of (id, text)."""
+def score(coded: DataFrame, model: NgramModel) -> DataFrame:
+    """(id, n_tokens, n_known, base_score, score) for every coded text."""
     total = model.tokens + 0.5 * (model.vocabulary + 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, levels = Lookup(model.word_level()), model.gram_levels()
-        end_place = int(model.word_level().find(np.array([word_hash(END)], dtype=np.uint64))[0][0])
-        for keys, tokens, ends in _chunks(batches):
-            places, counts = lookup(tokens)
-            starts = np.concatenate([[0], ends[:-1]])
-            base = (counts + 0.5) / total
-            chance, context_counts = base.copy(), None
-            for depth, level in enumerate(levels):
-                context = _contexts(levels[:depth], places, ends, end_place, places)
-                usable = np.flatnonzero(context >= 0)
-                if not len(usable):
-                    break
-                word = np.where(places[usable] >= 0, places[usable], 0)
-                c, w, _, back = _pair_order(context[usable], word, model.vocabulary)
-                _, share, followers = level.find(c, w)
-                distinct, of = np.unique(c, return_inverse=True)
-                below = levels[depth - 1] if depth else lookup.level
-                context_counts = below.counts(distinct)[of]
-                share = np.where(places[usable] >= 0, share[back], 0.0)
-                weight = (DISCOUNT * followers / np.maximum(context_counts, 1))[back]
-                seen = followers[back] > 0
-                chance[usable] = np.where(seen, share + weight * chance[usable], chance[usable])
-            yield pd.DataFrame({
-                "id": keys, "n_tokens": ends - starts,
-                "n_known": np.add.reduceat((counts > 0).astype(np.int64), starts),
-                "base_score": np.add.reduceat(np.log10(base), starts),
-                "score": np.add.reduceat(np.log10(chance), starts),
-            })
-
-    kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInPandas(run, f"id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = model.gram_levels()
+        end_place = model.end_place() if levels else -1
+        for batch in batches:
+            for at in range(batch.num_rows):
+                texts = Coded(batch.column("block")[at].as_py())
+                base = (texts.counts + 0.5) / total
+                chance = base.copy()
+                context, context_counts = texts.before(texts.places, end_place), texts.before(texts.counts, 0)
+                if levels:
+                    context_counts[texts.starts] = model.end_count()
+                for depth, level in enumerate(levels):
+                    usable = np.flatnonzero(context >= 0)
+                    if not len(usable):
+                        break
+                    known = texts.places[usable] >= 0
+                    c, w, back = _pair_order(context[usable], np.where(known, texts.places[usable], 0), model.vocabulary)
+                    place, share, followers = level.find(c, w)
+                    if depth:
+                        new = np.flatnonzero(np.diff(c, prepend=-1))  # the first pair of each context
+                        times = levels[depth - 1].counts(c[new])[np.cumsum(np.diff(c, prepend=-1) > 0) - 1][back]
+                    else:
+                        times = context_counts[usable]
+                    weight = DISCOUNT * followers[back] / np.maximum(times, 1)
+                    mixed = np.where(known, share[back], 0.0) + weight * chance[usable]
+                    chance[usable] = np.where(followers[back] > 0, mixed, chance[usable])
+                    longer = np.full(len(context), -1, dtype=np.int64)
+                    longer[usable] = np.where(known, place[back], -1)
+                    context = texts.before(longer, -1)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("ids")[at].values, pa.array(texts.ends - texts.starts, pa.int64()),
+                    pa.array(np.add.reduceat((texts.counts > 0).astype(np.int64), texts.starts)),
+                    pa.array(np.add.reduceat(np.log10(base), texts.starts)), pa.array(np.add.reduceat(np.log10(chance), texts.starts)),
+                ], ["id", "n_tokens", "n_known", "base_score", "score"])
+
+    kind = coded.schema["ids"].dataType.elementType.simpleString()
+    return coded.select("ids", "block").mapInArrow(run, f"id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def held_out_scores(df: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """Learn from the rows whose fold isn't FOLD, score all of them."""
-    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    scratch = Scratch(df.sparkSession, "ngram-trie")
-    learnt = rows.where(~F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)) == FOLD, F.lit(False)))
-    model = train(learnt, scratch, order)
-    return score(rows, model).select(
-        F.col("id").alias(key),
-        F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)) == FOLD, F.lit(False)).alias("held_out"),
+    def held_out(id_: str):
+        return F.coalesce(F.pmod(F.crc32(F.col(id_).cast("string")), F.lit(FOLDS)) == FOLD, F.lit(False))
+
+    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"), (~held_out(key)).alias("learnt"))
+    model, coded = train(rows, Scratch(df.sparkSession, "ngram-trie"), order)
+    return score(coded, model).select(
+        F.col("id").alias(key), held_out("id").alias("held_out"),
         "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
     )
 
