@@ -1,6 +1,7 @@
 """SimHash and embedding links against all pairs, in small tables of awkward rows."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,34 @@ def test_embedding_links(spark, monkeypatch, shard):
         assert tuple(got[k])[1:] == (0, k, True)
 
 
+@pytest.mark.parametrize("shard", [256, 90])
+def test_links_are_mutual_in_crowded_shards(spark, monkeypatch, shard):
+    """One dense group that holds a third of all nodes, and pairs near the threshold: every count agrees with brute force."""
+    monkeypatch.setattr(flat_graph, "SHARD_ROWS", shard)
+    rng = np.random.default_rng(9)
+    heart = rng.normal(size=16)
+    x = [rng.normal(size=16) for _ in range(500)] + [heart + rng.normal(size=16) * 0.33 for _ in range(400)]
+    x += [x[i] + rng.normal(size=16) * 0.4 for i in range(300)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    result, recall = flat_graph.link_vectors(df)
+    got = sorted(result.collect(), key=lambda r: r["vec_id"])
+    unit = np.stack([v / np.linalg.norm(v) for v in x])
+    close = unit @ unit.T >= 0.9
+    np.fill_diagonal(close, False)
+    found = np.array([r["n_links"] for r in got])
+    assert found.sum() % 2 == 0 and recall >= 0.95
+    assert (found <= close.sum(axis=1)).all() and found.sum() >= 0.99 * close.sum()
+    label = groups(len(x), [(a, b) for a, b in zip(*np.nonzero(close)) if a > b])
+    assert sum(r["component_id"] != root for r, root in zip(got, label)) <= 3
+
+
+def test_audit_weighs_nodes_and_not_links():
+    truth = pd.DataFrame({"cid": [1, 2, 3, 4, 5], "true": [1000, 1000, 1, 1, 0]})
+    assert flat_graph.audited(truth, pd.DataFrame({"cid": [1, 2, 3, 4], "links": [1000, 1000, 1, 1]})) == 1.0
+    assert flat_graph.audited(truth, pd.DataFrame({"cid": [1, 2], "links": [1000, 1000]})) == 0.0  # nothing found for the lonely ones
+    assert flat_graph.audited(truth.assign(true=0), pd.DataFrame({"cid": [], "links": []})) == 1.0
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert flat_graph.link_vectors(df)[0].collect() == []
