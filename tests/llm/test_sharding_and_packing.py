@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -85,34 +86,77 @@ def test_perfect_hash(keys):
     assert sorted(slots.tolist()) == list(range(len(keys)))
 
 
-def best_fit_decreasing(lengths, capacity):
-    rooms = []
+def best_fit_decreasing(lengths, capacity, rooms=()):
+    rooms, before = list(rooms), len(rooms)
     for length in sorted(lengths, reverse=True):
         fitting = [i for i, room in enumerate(rooms) if room >= length]
         if fitting:
             rooms[min(fitting, key=lambda i: rooms[i])] -= length
         else:
             rooms.append(capacity - length)
-    return len(rooms)
-
-
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.integers(1, 30), max_size=120))
-def test_rounds_equal_sequential_best_fit(lengths):
-    runs = packing.best_fit_rounds(Counter(lengths), 30)
-    used = defaultdict(list)
-    for count, first, each, offset, length in runs:
-        for i in range(count):
-            used[first + i // each].append((offset + i % each * length, length))
-    for parts in used.values():
-        parts.sort()
-        assert [p[0] for p in parts] == [0, *np.cumsum([p[1] for p in parts])[:-1]]
-        assert sum(p[1] for p in parts) <= 30
-    assert sorted(length for parts in used.values() for _, length in parts) == sorted(lengths)
-    assert len(used) == best_fit_decreasing(lengths, 30)
-
-
-def test_packing(spark):
+    return len(rooms) - before
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), max_size=12))
+def test_slots_pass_to_later_ranges_by_rank(ranges):
+    taken = packing.between_ranges([(i, *r) for i, r in enumerate(ranges)])
+    got = {(p, a + i): (q, b + i) for p, a, q, b, n in taken for i in range(n)}
+    assert len(set(got.values())) == len(got) == sum(t[4] for t in taken)
+    free, want = [], {}
+    for part, (slots, missing) in enumerate(ranges):  # the same, one slot at a time
+        for rank in range(missing):
+            if free:
+                want[part, rank] = free.pop()
+        free += [(part, rank) for rank in reversed(range(slots))]
+    assert got == want and len(taken) <= 2 * len(ranges)
+
+
+def plain_round(sizes):
+    """Pairs of one whole sweep over (size, is_piece), longest first, slots before pieces."""
+    free, pairs = [], []
+    for size, is_piece in sorted(sizes, key=lambda s: (-s[0], s[1])):
+        if not is_piece:
+            free.append(size)
+        elif free:
+            pairs.append((size, free.pop()))
+    return sorted(pairs)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9), st.booleans()), min_size=1, max_size=40), st.integers(1, 7))
+def test_sweeps_of_ranges_equal_one_sweep(sizes, per_range):
+    rows = sorted(sizes, key=lambda s: (-s[0], s[1]))
+    rows = [(i // per_range, is_piece, size, i) for i, (size, is_piece) in enumerate(rows)]
+    size_of = {i: size for _, _, size, i in rows}
+    swept = []
+    for part in sorted({r[0] for r in rows}):
+        batch = pd.DataFrame([r for r in rows if r[0] == part], columns=["part", "is_piece", "size", "at"])
+        swept += [r for out in packing.sweep(iter([batch.iloc[:2], batch.iloc[2:]])) for r in out.itertuples(index=False)]
+    pairs = [(r.size, size_of[r.seq]) for r in swept if r.kind == packing._MATCHED]
+    counts = {p: [0, 0, 0] for p in range(rows[-1][0] + 1)}
+    for r in swept:
+        counts[r.part][r.kind] += 1
+    slot = {(r.part, r.rank): size_of[r.seq] for r in swept if r.kind == packing._SLOT}
+    piece = {(r.part, r.rank): r.size for r in swept if r.kind == packing._PIECE}
+    for p, a, q, b, n in packing.between_ranges([(p, c[packing._SLOT], c[packing._PIECE]) for p, c in counts.items()]):
+        pairs += [(piece[p, a + i], slot[q, b + i]) for i in range(n)]
+    assert sorted(pairs) == plain_round(sizes)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=60), st.lists(st.integers(1, 29), max_size=20))
+def test_a_round_opens_no_more_than_any_packing(lengths, rooms):
+    above, more = packing.opening(Counter(lengths), Counter(rooms), 30)
+    assert above < max(lengths)
+    best, taking = sorted(rooms), [x for x in lengths if x > above]
+    needed = best_fit_decreasing(taking, 30, best)
+    assert more <= needed and (more or max(rooms) >= max(lengths))
+
+
+@pytest.mark.parametrize("range_rows", [500_000, 40])
+def test_packing(spark, monkeypatch, range_rows):
+    monkeypatch.setattr(packing, "RANGE_ROWS", range_rows)
     encode = encoded("byte_bpe_50k.json", 0)
     rows = [*ROWS, *((i, "some words here " * (i % 90)) for i in range(200, 330))]
     got = packing.pack(frame(spark, rows), packing.vocabulary_path(), capacity=256).collect()
