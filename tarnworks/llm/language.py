@@ -6,7 +6,9 @@ For every language l the posterior is proportional to
 
 * Text: naive Bayes over hashed character trigrams of words. Trigrams of one text aren't independent, so the mean
   log-likelihood counts as ``TEXT_WEIGHT`` trigrams at most. The model learns from a bounded sample of rows, ``SAMPLE_ROWS``
-  for each declared language (those with the smallest hashes), with add-half smoothing.
+  for each declared language (those with the smallest hashes), with add-half smoothing. A language is learnt if at
+  least ``LEAST_SHARE`` of the declared rows declare it, so that there are a thousand at most; its tag is two or three letters, and
+  a region after them is left out (``en-GB`` is ``en``). Any other declaration is no evidence.
 * Declared language and address suffix: right with a given trust; the rest is spread evenly.
 * Host: expected languages of all its texts, smoothed towards its domain's, that towards its suffix's, that towards
   the whole table's. All four levels are grouped sums over the whole table.
@@ -39,6 +41,7 @@ DECLARED_TRUST = 0.8
 SUFFIX_TRUST = 0.6
 HOST_WEIGHT = 20.0
 CONFIDENCE = 0.5
+LEAST_SHARE = 1 / 1000
 KNOWN_WORDS = 400_000
 TEXTS_AT_ONCE = 500
 # Country suffixes whose language has another code; a suffix equal to a code needs no entry.
@@ -72,7 +75,8 @@ def _languages(rows: DataFrame) -> DataFrame:
             yield pd.DataFrame({"language": language, "bucket": used, "n": row[used]})
 
     declared = rows.where("language is not null")
-    sizes = {r["language"]: r["count"] for r in declared.groupBy("language").count().collect()}  # one row a language
+    sizes = {r["language"]: r["count"] for r in declared.groupBy("language").count().collect()}  # tags of two or three letters
+    sizes = {language: n for language, n in sizes.items() if n >= LEAST_SHARE * sum(sizes.values())}
     if not sizes:
         return rows.sparkSession.createDataFrame([], "language string, bucket int, n bigint")
     # first thin each language to about four samples by its size, so that few rows meet in the ranking
@@ -133,6 +137,22 @@ def host_of(address: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(address, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)", 1)), F.lit(""))
 
 
+def tag_of(declared: Column) -> Column:
+    """The language of a declaration, without its region; NULL if it isn't a tag of two or three letters."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(declared)), r"^([a-z]{2,3})([-_].*)?$", 1), F.lit(""))
+
+
+def markup_language(html: Column) -> Column:
+    """What the ``lang`` attribute of the html element declares."""
+    return F.nullif(F.regexp_extract(html, r"""(?i)<html\b[^>]*?\slang\s*=\s*["']?([A-Za-z0-9_-]+)""", 1), F.lit(""))
+
+
+def visible(html: Column) -> Column:
+    """The text between tags, without scripts, styles, comments and character references."""
+    hidden = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    return F.regexp_replace(F.regexp_replace(hidden, r"<[^>]*>", " "), r"&#?\w{1,32};", " ")
+
+
 def _evidence(claim: Column, languages: list[str], trust: float) -> Column:
     """Log-likelihood of a claimed language under each language; no evidence if it is none of them."""
     wrong = np.log((1 - trust) / max(1, len(languages) - 1)) if len(languages) > 1 else 0.0
@@ -172,7 +192,7 @@ def identify(
 
     ``declared``, ``address`` and ``host`` name columns; a host is taken from the address if not given.
     """
-    claim = F.lower(F.col(declared)) if declared else F.lit(None).cast("string")
+    claim = tag_of(F.col(declared)) if declared else F.lit(None).cast("string")
     place = F.lower(F.col(host)) if host else (host_of(F.col(address)) if address else F.lit(None).cast("string"))
     languages, logs = fit(df.select(claim.alias("language"), F.col(text).alias("body"), row_digest(df).alias("order")))
     k = len(languages)
@@ -233,7 +253,20 @@ def keep(df: DataFrame, text: str = "text", declared: str | None = "lang", addre
     return df.withColumn(row, row_digest(df)).join(rejected, row, "left_anti").select(*df.columns)
 
 
+def documents_and_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """(table_name, doc_id, page_id, text, declared, host): documents with their ``lang`` and ``source``, pages with
+    their visible text, the language that their markup declares and the host of their address. The other id is NULL."""
+    return docs.select(
+        F.lit("documents").alias("table_name"), "doc_id", F.lit(None).cast(pages.schema["page_id"].dataType).alias("page_id"),
+        "text", F.col("lang").alias("declared"), F.col("source").alias("host"),
+    ).unionByName(pages.select(
+        F.lit("pages").alias("table_name"), F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "page_id",
+        visible(F.col("html")).alias("text"), markup_language(F.col("html")).alias("declared"), host_of(F.col("url")).alias("host"),
+    ))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
-    """Documents: the declared language is ``lang``, the host is ``source``."""
-    docs = read_table(spark, sf_dir, "documents")
-    return identify(docs, Scratch(spark, "language"), [F.col("doc_id")], declared="lang", host="source")
+    """All documents and all pages, judged by one model with all levels of evidence."""
+    rows = documents_and_pages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages"))
+    keys = [F.col(c) for c in ("table_name", "doc_id", "page_id")]
+    return identify(rows, Scratch(spark, "language"), keys, declared="declared", host="host")
