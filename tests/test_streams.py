@@ -11,6 +11,7 @@ from tarnworks.functions.messages import decode_event, encode_event
 from tarnworks.operators import conform
 from tarnworks.operators.reconcile import require
 from tarnworks.plans import event_stream, inputs, medallion
+from tarnworks.plans.catalogue import all_queries
 from tarnworks.schemas import EVENT_VALUE
 from tarnworks.sources.topic import Topic, peek, produce, read_topic, stream_topic, topic_size, watermarks
 from tarnworks.streaming import ingest, raw_landing, read_log
@@ -393,6 +394,15 @@ def test_files_are_read_as_a_batch_and_as_a_stream(spark, sf_dir, folder):
     assert box.batch(spark).count() == 10 and files.stream(spark).isStreaming
 
 
+@pytest.mark.parametrize("query", ["parse_events"])
+def test_streamed_events_take_places_in_a_topic(spark, sf_dir, query):
+    rows = all_queries()[query](spark, sf_dir).groupBy("kafka_partition").agg(
+        F.min("kafka_offset"), F.max("kafka_offset") + 1, F.count_distinct("kafka_offset"), F.count("*"),
+    ).collect()
+    assert len(rows) == 3
+    assert all(tuple(row)[1:] == (0, row[4], row[4], row[4]) for row in rows)
+
+
 def test_ids_beyond_32_bits_keep_every_row(spark, sf_dir):
     """Events far past 2^31 have ids of their own, so that core keeps as many rows as it does of small ones."""
     rows = inputs.table(spark, sf_dir, "events")
