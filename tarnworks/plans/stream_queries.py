@@ -33,13 +33,23 @@ def new_events_table(spark: SparkSession, label: str = "streamed") -> ingest.Eve
     return ingest.EventTable(spark, fresh_name(label), "sales_events", fresh_dir(spark, label))
 
 
-def streamed_table(spark: SparkSession, sf_dir: str, messages=event_stream.as_messages) -> ingest.EventTable:
-    """All events, streamed from where they lie."""
+def ingested(spark: SparkSession, records: DataFrame) -> ingest.EventTable:
+    """A new table with all the stream has."""
     table = new_events_table(spark)
-    ingest.ingest(event_stream.arrived(spark, sf_dir, messages).stream(spark), table)
+    ingest.ingest(records, table)
     return table
 
 
+def streamed_table(spark: SparkSession, sf_dir: str) -> ingest.EventTable:
+    """All events, produced to a topic and streamed from it with the places they took there."""
+    return ingested(spark, topics.stream_topic(spark, event_topic.filled_topic(spark, sf_dir)))
+
+
+def spoilt_table(spark: SparkSession, sf_dir: str) -> ingest.EventTable:
+    """Events of which some are malformed, streamed from where they lie."""
+    return ingested(spark, event_stream.arrived(spark, sf_dir, event_stream.with_spoilt_values).stream(spark))
+
+
 def two_deliveries(spark: SparkSession, sf_dir: str) -> ingest.EventTable:
     """Deliver, ingest, ingest again with nothing new, deliver the rest, ingest."""
     box, table = event_stream.inbox(spark, sf_dir), new_events_table(spark)
@@ -103,12 +113,12 @@ def stream_incremental(spark, sf_dir):
 
 def stream_quarantine(spark, sf_dir):
     """The text of messages that aren't JSON, and where they came from."""
-    return streamed_table(spark, sf_dir, event_stream.with_spoilt_values).quarantine()
+    return spoilt_table(spark, sf_dir).quarantine()
 
 
 def message_quality(spark, sf_dir):
     """Good and malformed messages of each topic partition."""
-    return streamed_table(spark, sf_dir, event_stream.with_spoilt_values).message_counts()
+    return spoilt_table(spark, sf_dir).message_counts()
 
 
 def snapshot_summary(spark, sf_dir):

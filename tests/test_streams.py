@@ -394,7 +394,7 @@ def test_files_are_read_as_a_batch_and_as_a_stream(spark, sf_dir, folder):
     assert box.batch(spark).count() == 10 and files.stream(spark).isStreaming
 
 
-@pytest.mark.parametrize("query", ["parse_events"])
+@pytest.mark.parametrize("query", ["parse_events", "stream_ingest", "landing_events"])
 def test_streamed_events_take_places_in_a_topic(spark, sf_dir, query):
     rows = all_queries()[query](spark, sf_dir).groupBy("kafka_partition").agg(
         F.min("kafka_offset"), F.max("kafka_offset") + 1, F.count_distinct("kafka_offset"), F.count("*"),
