@@ -51,13 +51,18 @@ def spoilt_table(spark: SparkSession, sf_dir: str) -> ingest.EventTable:
 
 
 def two_deliveries(spark: SparkSession, sf_dir: str) -> ingest.EventTable:
-    """Deliver, ingest, ingest again with nothing new, deliver the rest, ingest."""
-    box, table = event_stream.inbox(spark, sf_dir), new_events_table(spark)
-    event_stream.deliver(spark, sf_dir, box, early())
-    ingest.ingest(box.stream(spark), table)
-    ingest.ingest(box.stream(spark), table)
-    event_stream.deliver(spark, sf_dir, box, ~early())
-    ingest.ingest(box.stream(spark), table)
+    """Deliver, ingest, ingest again with nothing new, deliver the rest, ingest.
+
+    The first delivery ends before the first event of the second one's time: a topic takes messages in their order.
+    """
+    topic, table = event_topic.new_topic(spark), new_events_table(spark)
+    first = inputs.sales_events(spark, sf_dir).where(~early()).agg(F.min("kafka_offset")).first()[0]
+    begun = F.lit(False) if first is None else F.col("kafka_offset") >= first
+    event_topic.deliver(spark, sf_dir, topic, ~begun)
+    ingest.ingest(topics.stream_topic(spark, topic), table)
+    ingest.ingest(topics.stream_topic(spark, topic), table)
+    event_topic.deliver(spark, sf_dir, topic, begun)
+    ingest.ingest(topics.stream_topic(spark, topic), table)
     return table
 
 

@@ -394,7 +394,7 @@ def test_files_are_read_as_a_batch_and_as_a_stream(spark, sf_dir, folder):
     assert box.batch(spark).count() == 10 and files.stream(spark).isStreaming
 
 
-@pytest.mark.parametrize("query", ["parse_events", "stream_ingest", "landing_events"])
+@pytest.mark.parametrize("query", ["parse_events", "stream_ingest", "stream_incremental", "landing_events"])
 def test_streamed_events_take_places_in_a_topic(spark, sf_dir, query):
     rows = all_queries()[query](spark, sf_dir).groupBy("kafka_partition").agg(
         F.min("kafka_offset"), F.max("kafka_offset") + 1, F.count_distinct("kafka_offset"), F.count("*"),
@@ -403,6 +403,17 @@ def test_streamed_events_take_places_in_a_topic(spark, sf_dir, query):
     assert all(tuple(row)[1:] == (0, row[4], row[4], row[4]) for row in rows)
 
 
+def test_deliveries_lose_no_event_and_keep_the_order(spark, folder):
+    data = folder("odd")
+    times = ["2024-01-02", None, "2024-02-01", "2024-01-03", None, "2024-01-04"]
+    rows = [(i, t, 0, "view", 1.0, "{}") for i, t in enumerate(times)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{data}/events.parquet")
+    got = all_queries()["stream_incremental"](spark, data).orderBy("kafka_offset").collect()
+    assert [row["kafka_offset"] for row in got] == [0, 1, 2, 3, 4, 5]
+    assert [row["ts"] and row["ts"].strftime("%Y-%m-%d") for row in got] == times
+
+
 def test_ids_beyond_32_bits_keep_every_row(spark, sf_dir):
     """Events far past 2^31 have ids of their own, so that core keeps as many rows as it does of small ones."""
     rows = inputs.table(spark, sf_dir, "events")
