@@ -206,6 +206,20 @@ def test_compaction_splits_at_the_target_size(spark, folder):
     assert 3 <= table.data_files().count() <= 4 and table.read().distinct().count() == 40_000
 
 
+def test_compaction_reads_and_joins_in_tasks_of_their_own(spark, folder, monkeypatch):
+    """However few files are wanted, only the last step, which writes them, has as few tasks."""
+    table = VersionedTable(spark, folder())
+    table.overwrite(spark.range(0, 1000, numPartitions=4))
+    rowops.delete_merge_on_read(table, F.col("id") % 2 == 0)
+    seen, replace_files = [], upkeep.replace_files
+    monkeypatch.setattr(upkeep, "replace_files", lambda *a: seen.append(a[-1]) or replace_files(*a))
+    upkeep.compact(table, rewrite_all=True)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and plan.index("REPARTITION_BY_NUM") < plan.index("Join")
+    assert table.data_files().count() == 1
+    assert sorted(row["id"] for row in table.read().collect()) == list(range(1, 1000, 2))
+
+
 def test_compaction_settles_by_partition(spark, folder):
     batches = [[(i, "x")] for i in range(3)] + [[(9, "y")]]
     table = table_of(spark, folder(), *batches, partition_by=["v"])
