@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnworks.operators import distincts, quality
+from tarnworks.plans import batch_queries
+from tarnworks.session import pin_session
 
 SHAPE = "_source string, month date, id bigint, region string, amount double"
 
@@ -80,3 +82,10 @@ def test_nothing_to_count(spark):
     assert distincts.distinct_ids(distincts.id_bitmaps(empty, ["_source"], "id"), ["_source"]).collect() == []
     nulls = spark.createDataFrame([("a", None), ("a", None)], "g string, id bigint")
     assert distincts.distinct_ids(distincts.id_bitmaps(nulls, ["g"], "id"), ["g"]).first()["ids_cnt"] == 0
+
+
+def test_the_exact_number_of_a_year_needs_no_bitmaps_of_months(spark, sf_dir, monkeypatch):
+    seen, id_bitmaps = [], distincts.id_bitmaps
+    monkeypatch.setattr(distincts, "id_bitmaps", lambda rows, groups, *more: seen.append(groups) or id_bitmaps(rows, groups, *more))
+    got = batch_queries.approx_distinct_ids(pin_session(spark), sf_dir).collect()
+    assert seen == [["_source", "year"]] and got and all(row["within_2_percent"] for row in got)
