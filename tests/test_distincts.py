@@ -89,3 +89,9 @@ def test_the_exact_number_of_a_year_needs_no_bitmaps_of_months(spark, sf_dir, mo
     monkeypatch.setattr(distincts, "id_bitmaps", lambda rows, groups, *more: seen.append(groups) or id_bitmaps(rows, groups, *more))
     got = batch_queries.approx_distinct_ids(pin_session(spark), sf_dir).collect()
     assert seen == [["_source", "year"]] and got and all(row["within_2_percent"] for row in got)
+
+
+def test_tasks_read_little_enough_to_hold_their_rows(spark):
+    conf = pin_session(spark)._jsparkSession.sessionState().conf()
+    assert conf.filesMaxPartitionBytes() <= 32 << 20
+    assert int(conf.getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes")[:-1]) <= 16
