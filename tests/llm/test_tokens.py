@@ -24,3 +24,21 @@ def test_equal_to_whole_texts(kind, text):
     encoder = ENCODERS[kind]
     want = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
     assert encoder.ids([text, text + " "])[0] == want
+
+
+@pytest.mark.parametrize("kind", KINDS, ids=lambda k: k[0])
+def test_a_word_is_merged_once_whatever_marks_follow_it(kind):
+    encoder, words = Encoder(public_tokenizers.path(kind[0]), kind[1]), []
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, word):
+            words.append(word)
+            return self.model.tokenize(word)
+
+    encoder.model = Counted(encoder.model)
+    encoder.ids([" zorbel zorbel, zorbel. (zorbel zorbel!!", " zorbel; zorbel"])
+    encoder.ids([" zorbel? zorbel..."])
+    assert len(words) == 1
