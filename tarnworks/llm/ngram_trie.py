@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 
 from tarnworks.llm.elias_fano import encode, pack, prefixed, sequence, unpack
 from tarnworks.llm.scratch import Scratch, map_blob, read_table, write_blob
+from tarnworks.llm.stretches import SEPARATOR, cut, listed
 
 ORDER = 3
 DISCOUNT = 0.75
@@ -49,12 +51,14 @@ WORDS_PER_SHARD = 1 << 18
 TOKENS_PER_SHARD = 1 << 21
 TOKENS_PER_BLOCK = 1 << 21
 TOKENS_AT_ONCE = 3 << 18
+BYTES_AT_ONCE = 4_000_000
 KNOWN_WORDS = 300_000
 LEVELS_16 = 65535
 END = b""
 
 
 def words_of(text: str | None) -> list[bytes]:
+    """The words of one text, without its END; ``_tokens`` gives the same for many."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
@@ -62,23 +66,45 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 0)
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct tokens of the texts, each token's number among them in order, and where each text's END stands."""
+    bodies = [text.lower() for text in listed(texts.fill_null("").cast(pa.large_binary()))]
+    words, number, ends = cut(bodies, with_spaces=False)
+    return [word if word != SEPARATOR else END for word in listed(words)], number, ends
+
+
+def _groups(texts: pa.Array) -> Iterator[slice]:
+    """Runs of the texts of about so many bytes."""
+    start = total = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        total += n
+        if total >= BYTES_AT_ONCE:
+            yield slice(start, i + 1)
+            start, total = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, n) for the words of many texts, counted before they leave the task."""
-    counts: Counter[bytes] = Counter()
+    place: dict[bytes, int] = {}
+    counts = np.zeros(0, dtype=np.int64)
 
-    def flush() -> pd.DataFrame:
-        hashes = np.fromiter(map(word_hash, counts), dtype=np.uint64, count=len(counts))
-        rows = pd.DataFrame({"key": hashes.view(np.int64), "n": np.fromiter(counts.values(), np.int64, len(counts))})
-        counts.clear()
-        return rows
+    def flush() -> pa.RecordBatch:
+        hashes = np.fromiter(map(word_hash, place), dtype=np.uint64, count=len(place))
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["key", "n"])
 
     for batch in batches:
-        for text in batch["text"]:
-            counts.update(words_of(text))
-            counts[END] += 1
-            if len(counts) > KNOWN_WORDS:
+        texts = batch.column("text")
+        for part in _groups(texts):
+            words, number, _ = _tokens(texts[part])
+            at = np.fromiter((place.setdefault(word, len(place)) for word in words), np.int64, len(words))
+            counts = np.concatenate([counts, np.zeros(len(place) - len(counts), dtype=np.int64)])
+            counts[at] += np.bincount(number, minlength=len(words))
+            if len(place) > KNOWN_WORDS:
                 yield flush()
-    if counts:
+                place, counts = {}, np.zeros(0, dtype=np.int64)
+    if place:
         yield flush()
 
 
@@ -293,28 +319,31 @@ def code(texts: DataFrame, model: NgramModel) -> DataFrame:
         size = {True: 0, False: 0}
 
         def flush(learnt: bool) -> pa.RecordBatch:
-            ids, tokens, lengths = held[learnt]
+            ids, tokens, ends = held[learnt]
             held[learnt], size[learnt] = ([], [], []), 0
-            coded = pa.chunked_array(tokens, pa.binary()).combine_chunks().dictionary_encode()
-            places, counts = lookup(coded.dictionary.to_pylist())
-            distinct, first, token = np.unique(places, return_index=True, return_inverse=True)
-            block = _squeezed(distinct, counts[first], token[coded.indices.to_numpy()], np.cumsum(lengths))
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), pa.array([learnt]), pa.array([block], pa.binary())], ["ids", "learnt", "block"])
+            lengths = np.concatenate([np.diff(e, prepend=-1) for e in ends])
+            places, back = np.unique(np.concatenate([t[0] for t in tokens]), return_inverse=True)
+            counts = np.empty(len(places), dtype=np.int64)
+            counts[back] = np.concatenate([t[1] for t in tokens])
+            bounds = np.cumsum([0, *(len(t[0]) for t in tokens)])
+            token = np.concatenate([back[begin : begin + len(t[0])][t[2]] for begin, t in zip(bounds, tokens)])
+            block = _squeezed(places, counts, token, np.cumsum(lengths))
+            keys = pa.concat_arrays(ids)
+            whole = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
+            return pa.RecordBatch.from_arrays([whole, pa.array([learnt]), pa.array([block], pa.binary())], ["ids", "learnt", "block"])
 
-        kind = pa.null()
         for batch in batches:
-            kind = batch.schema.field("id").type
-            for at in range(batch.num_rows):
-                learnt = batch.column("learnt")[at].as_py()
-                ids, tokens, lengths = held[learnt]
-                words = words_of(batch.column("text")[at].as_py())
-                words.append(END)
-                tokens.append(pa.array(words, pa.binary()))
-                ids.append(batch.column("id")[at].as_py())
-                lengths.append(len(words))
-                size[learnt] += len(words)
-                if size[learnt] >= TOKENS_AT_ONCE:
-                    yield flush(learnt)
+            for learnt in (True, False):
+                rows = batch.filter(pc.equal(batch.column("learnt"), learnt))
+                for part in _groups(rows.column("text")):
+                    ids, tokens, ends = held[learnt]
+                    words, number, end = _tokens(rows.column("text")[part])
+                    tokens.append((*lookup(words), number))
+                    ends.append(end)
+                    ids.append(rows.column("id")[part])
+                    size[learnt] += len(number)
+                    if size[learnt] >= TOKENS_AT_ONCE:
+                        yield flush(learnt)
         for learnt in (True, False):
             if held[learnt][0]:
                 yield flush(learnt)
@@ -355,7 +384,7 @@ def _offsets(rows: list[dict]) -> list[dict]:
 
 def _train_words(texts: DataFrame, scratch: Scratch) -> NgramModel:
     counts = scratch.stage(
-        texts.mapInPandas(_counted, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "words"
+        texts.select("text").mapInArrow(_counted, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "words"
     )
     total = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first()
     bits = max(0, (-(-total["v"] // WORDS_PER_SHARD) - 1).bit_length())
