@@ -17,18 +17,28 @@ from tarnworks.llm import language, mixing, packing, quality, simhash
 from tarnworks.llm.scratch import Scratch, read_table
 
 
+ROWS_AT_ONCE = 1_000  # whole texts that pass between the JVM and Python together; both hold several such batches
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an identified language; the declared one is ``lang``, the host ``source``."""
+    _small_batches(spark)
     return language.keep(docs)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    _small_batches(spark)
     return quality.keep(docs, read_table(spark, sf_dir, "labels"))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group whose fingerprints link: three words, three bits at most."""
+    _small_batches(spark)
     return simhash.keep(docs)
 
 
@@ -39,6 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces, each with its sequence and offset."""
+    _small_batches(spark)
     return packing.pack(docs, packing.vocabulary_path())
 
 

@@ -44,6 +44,7 @@ CONFIDENCE = 0.5
 LEAST_SHARE = 1 / 1000
 KNOWN_WORDS = 400_000
 TEXTS_AT_ONCE = 500
+WORDS_AT_ONCE = 10_000  # whose trigrams are held at once
 # Country suffixes whose language has another code; a suffix equal to a code needs no entry.
 SUFFIX_LANGUAGES = {"at": "de", "uk": "en", "us": "en", "au": "en", "ie": "en", "mx": "es", "ar": "es", "co": "es"}
 
@@ -117,10 +118,13 @@ def log_likelihoods(logs: np.ndarray):
                 if len(known) > KNOWN_WORDS:
                     known, sums = {}, np.empty((0, shape[1]))
                 new = list(set().union(*group).difference(known))
-                owner, bucket = trigrams(new)
-                added = np.stack([np.bincount(owner, weights=table[bucket, k], minlength=len(new)) for k in range(shape[1])], axis=1)
-                known.update(zip(new, zip(range(len(sums), len(sums) + len(new)), np.bincount(owner, minlength=len(new)).tolist())))
-                sums = np.concatenate([sums, added])
+                added = [sums]
+                for begin in range(0, len(new), WORDS_AT_ONCE):
+                    part, place = new[begin : begin + WORDS_AT_ONCE], len(sums) + begin
+                    owner, bucket = trigrams(part)
+                    added.append(np.stack([np.bincount(owner, weights=table[bucket, k], minlength=len(part)) for k in range(shape[1])], axis=1))
+                    known.update(zip(part, zip(range(place, place + len(part)), np.bincount(owner, minlength=len(part)).tolist())))
+                sums = np.concatenate(added)
                 for words in group:
                     if not words:
                         out.append(None)

@@ -38,6 +38,7 @@ FOLD, FOLDS = 0, 5
 THRESHOLD = 0.3
 KNOWN_WORDS = 600_000
 TEXTS_AT_ONCE = 500
+WORDS_AT_ONCE = 10_000  # whose n-grams are held at once, some 600 bytes a word
 REPEAT_BUCKET = 0  # words hash to the others
 REPEAT_WEIGHT = 16
 
@@ -153,9 +154,11 @@ def scorer(weights: np.ndarray, bias: float):
                 if len(known) > KNOWN_WORDS:
                     known.clear()
                 new = list(set().union(*group).difference(known))
-                owner, bucket = buckets_of(new)
-                values = np.bincount(owner, weights=table[bucket], minlength=len(new))
-                known.update(zip(new, zip(values.tolist(), np.bincount(owner, minlength=len(new)).tolist())))
+                for begin in range(0, len(new), WORDS_AT_ONCE):
+                    part = new[begin : begin + WORDS_AT_ONCE]
+                    owner, bucket = buckets_of(part)
+                    values = np.bincount(owner, weights=table[bucket], minlength=len(part))
+                    known.update(zip(part, zip(values.tolist(), np.bincount(owner, minlength=len(part)).tolist())))
                 for i, words in enumerate(group, start=start):
                     n = repeats(words)
                     total = n * float(table[REPEAT_BUCKET])
