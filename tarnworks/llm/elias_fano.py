@@ -1,20 +1,20 @@
 """Elias-Fano coded monotone sequences, queried many places at once.
 
 A sequence of n values below u keeps the low log2(u/n) bits of each value packed, and the high parts as a
-bit vector in unary: value i sets bit (high + i). One rank directory, a count for every 512 bits, serves
-both kinds of select. All queries take arrays.
+bit vector in unary: value i sets bit (high + i). Two directories, the set and the clear bits before each word of the
+vector, make a select one search and one word. They are stored, so that a reader of mapped files computes and holds
+nothing of a size with the sequence. All queries take arrays.
 """
 
 from __future__ import annotations
 
 import json
-from functools import cached_property
 
 import numpy as np
 
-_BLOCK = 8  # words of 64 bits for each entry of the directory
 _AT_ONCE = 1 << 17
-_U1, _U6, _U63, _U64 = np.uint64(1), np.uint64(6), np.uint64(63), np.uint64(64)
+_U1, _U63 = np.uint64(1), np.uint64(63)
+_IN_BYTE = np.array([[([i for i in range(8) if byte >> i & 1] + [0] * 8)[nth] for nth in range(8)] for byte in range(256)], np.uint8)
 
 
 def _pack_low(values: np.ndarray, bits: int) -> np.ndarray:
@@ -33,26 +33,27 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     bits = max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1)
     high = (values >> np.uint64(bits)).astype(np.int64)
     length = (int(high[-1]) if n else 0) + n + 1
-    unary = np.zeros(-(-length // (64 * _BLOCK)) * 64 * _BLOCK, dtype=bool)
+    unary = np.zeros(-(-length // 64) * 64, dtype=bool)
     unary[high + np.arange(n)] = True
     words = np.packbits(unary, bitorder="little").view("<u8")
-    ones = np.bitwise_count(words).reshape(-1, _BLOCK).sum(axis=1, dtype=np.int64)
+    ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
+    kind = "<u4" if len(unary) < 1 << 32 else "<i8"
     low = _pack_low(values & np.uint64((1 << bits) - 1), bits) if bits else np.zeros(2, "<u8")
     return {
         "shape": np.array([n, bits], dtype="<i8"), "high": words, "low": low,
-        "ranks": np.concatenate([[0], np.cumsum(ones)]).astype("<i8"),
+        "ones": ones.astype(kind), "zeros": (np.arange(len(ones)) * 64 - ones).astype(kind),
     }
 
 
 def _select_in_words(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    at = np.zeros(len(words), dtype=np.uint64)
-    nth = nth.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        count = np.bitwise_count((words >> at) & np.uint64((1 << width) - 1)).astype(np.int64)
+    at = np.zeros(len(words), dtype=np.uint8)
+    nth = nth.astype(np.uint8)
+    for width in (32, 16, 8):
+        count = np.bitwise_count((words >> at) & np.uint64((1 << width) - 1))
         beyond = nth >= count
         nth -= count * beyond
-        at += beyond.astype(np.uint64) * np.uint64(width)
-    return at.astype(np.int64)
+        at += beyond * np.uint8(width)
+    return at.astype(np.int64) + _IN_BYTE[(words >> at).astype(np.uint8), nth]
 
 
 class Sequence:
@@ -60,19 +61,11 @@ class Sequence:
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.bits = (int(x) for x in arrays["shape"])
-        self.high, self.low, self._ranks = arrays["high"], arrays["low"], arrays["ranks"]
-
-    @cached_property
-    def ones(self) -> np.ndarray:
-        """Set bits before each word. The stored directory holds every eighth; with all, a select is one search and one word."""
-        within = np.cumsum(np.bitwise_count(self.high).reshape(-1, _BLOCK), axis=1, dtype=np.int64)
-        return np.concatenate([[0], (self._ranks[:-1, None] + within).ravel()])
-
-    @cached_property
-    def zeros(self) -> np.ndarray:
-        return np.arange(len(self.high) + 1, dtype=np.int64) * 64 - self.ones
+        self.high, self.low = arrays["high"], arrays["low"]
+        self.ones, self.zeros = arrays["ones"], arrays["zeros"]
 
     def _select(self, nth: np.ndarray, directory: np.ndarray, flip: bool) -> np.ndarray:
+        nth = nth.astype(directory.dtype)  # else the search would copy the directory
         word = np.searchsorted(directory, nth, side="right") - 1
         bits = self.high[word]
         return word * 64 + _select_in_words(~bits if flip else bits, nth - directory[word])
@@ -91,11 +84,12 @@ class Sequence:
     def _low_at(self, index: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(index), dtype=np.uint64)
-        bit = index.astype(np.uint64) * np.uint64(self.bits)
-        word, shift = (bit >> _U6).astype(np.int64), bit & _U63
+        bit = index * self.bits
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
         value = self.low[word] >> shift
-        value |= np.where(shift > 0, self.low[word + 1] << ((_U64 - shift) & _U63), np.uint64(0))
-        return value & np.uint64((1 << self.bits) - 1)
+        value |= (self.low[word + 1] << _U1) << (_U63 - shift)
+        value &= np.uint64((1 << self.bits) - 1)
+        return value
 
     def get(self, index: np.ndarray) -> np.ndarray:
         """The values at the given places."""
@@ -113,6 +107,35 @@ class Sequence:
         if not self.n:
             return place, equal
         last = np.int64(self.zeros[-1])
+        for start in range(0, len(values), _AT_ONCE):
+            part = values[start : start + _AT_ONCE].astype(np.uint64)
+            high = (part >> np.uint64(self.bits)).astype(np.int64)
+            inside = high < last  # high parts beyond the vector exceed every element
+            if not inside.all():
+                part, high = part[inside], high[inside]
+            low = part & np.uint64((1 << self.bits) - 1)
+            zero = self._select(np.maximum(high - 1, 0), self.zeros, True)
+            begin, end = zero + 1 - high, self._next_zero(zero, high) - high
+            lowest = high == 0
+            begin[lowest], end[lowest] = 0, zero[lowest]
+            end = np.minimum(end, self.n)
+            # inside the bucket the low bits are in order; a crowded context can fill a bucket, so halve it
+            same = np.zeros(len(high), dtype=bool)
+            open_ = np.flatnonzero(begin < end)
+            left, right, wanted = begin[open_], end[open_], low[open_]
+            while len(open_):
+                middle = (left + right) >> 1
+                seen = self._low_at(middle)
+                same[open_[seen == wanted]] = True  # the first element not below has been seen, unless it is the bucket's end
+                below = seen < wanted
+                left, right = np.where(below, middle + 1, left), np.where(below, right, middle)
+                begin[open_] = left
+                more = np.flatnonzero(left < right)
+                open_, left, right, wanted = open_[more], left[more], right[more], wanted[more]
+            place[start : start + _AT_ONCE][inside] = begin
+            equal[start : start + _AT_ONCE][inside] = same
+        return place, equal
+        last = np.int64(self.zeros[-1])
         for start in range(0, len(values), _AT_ONCE):
             part = values[start : start + _AT_ONCE].astype(np.uint64)
             high = (part >> np.uint64(self.bits)).astype(np.int64)

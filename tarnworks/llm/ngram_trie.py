@@ -14,7 +14,8 @@ Smoothing is interpolated absolute discounting, p(w|c) = (n(cw) - D) / n(c) + D
 with T(c), the number of different followers, being the difference of two pointers; the last resort is the
 add-half unigram estimate, so unseen words have a probability as well.
 
-Texts are split and their words looked up once; the staged places, a few bytes a token, serve every later pass. Scoring climbs
+Texts are split and their words looked up once; the staged places, a few bytes a token, serve every later pass, in runs of
+bounded size (``_runs``). Files are read as they are mapped: a task holds nothing that grows with the trie. Scoring climbs
 the trie level by level: a pair's place in one level is the context of the next.
 
 Counting combines in each task before anything is shuffled: level 1 by hash, higher levels as blocks of
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -51,6 +53,7 @@ WORDS_PER_SHARD = 1 << 18
 TOKENS_PER_SHARD = 1 << 21
 TOKENS_PER_BLOCK = 1 << 21
 TOKENS_AT_ONCE = 3 << 18
+TOKENS_IN_RUN = 1 << 19
 BYTES_AT_ONCE = 4_000_000
 KNOWN_WORDS = 300_000
 LEVELS_16 = 65535
@@ -268,14 +271,15 @@ def _pair_order(contexts: np.ndarray, words: np.ndarray, vocabulary: int):
     return pairs[:, 0], pairs[:, 1], back
 
 
-def _pair_counts(contexts: np.ndarray, words: np.ndarray, vocabulary: int):
-    """Distinct pairs in order and their counts."""
-    top = int(contexts.max()) + 1 if len(contexts) else 1
-    if top * vocabulary < 1 << 63:
-        merged, counts = np.unique(contexts * vocabulary + words, return_counts=True)
-        return merged // vocabulary, merged % vocabulary, counts
-    pairs, counts = np.unique(np.stack([contexts, words], axis=1), axis=0, return_counts=True)
-    return pairs[:, 0], pairs[:, 1], counts
+def _sorted_counts(values: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order and how often each stands, or the sum of its ``n``. Without ``n`` the array itself is sorted."""
+    if n is None:
+        values.sort()
+    else:
+        order = np.argsort(values, kind="stable")  # runs in order, which a merging sort is quick with
+        values, n = values[order], n[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[first], np.diff(first, append=len(values)) if n is None else np.add.reduceat(n, first)
 
 
 def _squeezed(*columns: np.ndarray) -> bytes:
@@ -296,12 +300,11 @@ def _loosened(block: bytes) -> list[np.ndarray]:
 
 
 class Coded:
-    """A block of texts: the places of their tokens in level 1, and how often each was learnt."""
+    """Texts as the places of their tokens in level 1, and how often each was learnt."""
 
-    def __init__(self, block: bytes):
-        distinct, counts, token, self.ends = _loosened(block)
-        self.places, self.counts = distinct[token], counts[token]
-        self.starts = np.concatenate([[0], self.ends[:-1]])
+    def __init__(self, places: np.ndarray, counts: np.ndarray, ends: np.ndarray):
+        self.places, self.counts, self.ends = places, counts, ends
+        self.starts = np.concatenate([[0], ends[:-1]])
 
     def before(self, values: np.ndarray, first: int) -> np.ndarray:
         """Each token's predecessor's value, ``first`` for the first token of a text."""
@@ -310,6 +313,18 @@ class Coded:
         return moved
 
 
+def _runs(block: bytes) -> Iterator[tuple[slice, Coded]]:
+    """Which of a block's texts, and these. A run has TOKENS_IN_RUN tokens at most unless it is one text: passes hold some thirty
+    numbers a token, so they take a block run by run."""
+    distinct, counts, token, ends = _loosened(block)
+    first = begin = 0
+    while first < len(ends):
+        last = max(first + 1, int(np.searchsorted(ends, begin + TOKENS_IN_RUN, side="right")))
+        own = token[begin : ends[last - 1]]
+        yield slice(first, last), Coded(distinct[own], counts[own], ends[first:last] - begin)
+        first, begin = last, int(ends[last - 1])
+
+
 def code(texts: DataFrame, model: NgramModel) -> DataFrame:
     """(ids, learnt, block) from (id, text, learnt): texts are split and looked up once, all other passes read blocks."""
 
@@ -441,13 +456,21 @@ def _bounds(model: NgramModel) -> list[tuple[int, int]]:
 def _train_level(coded: DataFrame, model: NgramModel, end_place: int, keep_counts: bool, scratch: Scratch) -> None:
     bounds, folder, level = _bounds(model), model.folder, len(model.grams) + 2
 
+    contexts = sum(shard["n"] for shard in (model.grams[-1] if model.grams else model.words))
+    wide = contexts * model.vocabulary >= 1 << 63  # else a pair is one number
+
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         levels = model.gram_levels()
         held: list[np.ndarray] = []
 
         def flush() -> pd.DataFrame:
-            c, w, n = _pair_counts(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), model.vocabulary)
+            pairs = np.concatenate(held, axis=-1)
             held.clear()
+            if wide:
+                (c, w), n = np.unique(pairs, axis=1, return_counts=True)
+            else:
+                pairs, n = _sorted_counts(pairs)
+                c, w = np.divmod(pairs, model.vocabulary)
             cuts = _pair_cuts(c, w, bounds)
             rows = []
             for i in np.flatnonzero(np.diff(cuts)):
@@ -456,8 +479,7 @@ def _train_level(coded: DataFrame, model: NgramModel, end_place: int, keep_count
             return pd.DataFrame(rows, columns=["shard", "block"])
 
         for batch in batches:
-            for block in batch["block"]:
-                texts = Coded(block)
+            for _, texts in chain.from_iterable(map(_runs, batch["block"])):
                 context = texts.before(texts.places, end_place)
                 for level_below in levels:  # a place in the level below is the next token's context
                     longer = np.full(len(context), -1, dtype=np.int64)
@@ -466,8 +488,9 @@ def _train_level(coded: DataFrame, model: NgramModel, end_place: int, keep_count
                     longer[usable] = level_below.find(c, w)[0][back]
                     context = texts.before(longer, -1)
                 usable = context >= 0
-                held.append(np.stack([context[usable], texts.places[usable]]))
-                if sum(h.shape[1] for h in held) >= TOKENS_PER_BLOCK:
+                c, w = context[usable], texts.places[usable]
+                held.append(np.stack([c, w]) if wide else c * model.vocabulary + w)
+                if sum(h.shape[-1] for h in held) >= TOKENS_PER_BLOCK:
                     yield flush()
         if held:
             yield flush()
@@ -475,15 +498,15 @@ def _train_level(coded: DataFrame, model: NgramModel, end_place: int, keep_count
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         number = int(rows["shard"].iloc[0])
         parts = [_loosened(block) for block in rows["block"]]
-        c = np.concatenate([np.cumsum(p[0]) for p in parts])
-        w = np.concatenate([p[1] for p in parts])
-        first = int(c.min())
-        top = (int(c.max()) - first + 1) * model.vocabulary
-        if top < 1 << 63:
-            merged, back = np.unique((c - first) * model.vocabulary + w, return_inverse=True)
-        else:
+        first = min(int(p[0][0]) for p in parts)
+        top = (max(int(p[0].sum()) for p in parts) - first + 1) * model.vocabulary
+        if top >= 1 << 63:
             raise OverflowError("a shard's contexts times the vocabulary must stay below 2^63; use smaller shards")
-        n = np.bincount(back, weights=np.concatenate([p[2] for p in parts])).astype(np.int64)
+        pairs = np.concatenate([(np.cumsum(p[0]) - first) * model.vocabulary + p[1] for p in parts])
+        n = np.concatenate([p[2] for p in parts])
+        del parts
+        merged, n = _sorted_counts(pairs, n)
+        del pairs
         local = merged // model.vocabulary
         contexts = int(local[-1]) + 1
         pointers = np.searchsorted(local, np.arange(contexts + 1))
@@ -535,38 +558,37 @@ def score(coded: DataFrame, model: NgramModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = model.gram_levels()
-        end_place = model.end_place() if levels else -1
+        end_place, end_count = (model.end_place(), model.end_count()) if levels else (-1, 0)
         for batch in batches:
             for at in range(batch.num_rows):
-                texts = Coded(batch.column("block")[at].as_py())
-                base = (texts.counts + 0.5) / total
-                chance = base.copy()
-                context, context_counts = texts.before(texts.places, end_place), texts.before(texts.counts, 0)
-                if levels:
-                    context_counts[texts.starts] = model.end_count()
-                for depth, level in enumerate(levels):
-                    usable = np.flatnonzero(context >= 0)
-                    if not len(usable):
-                        break
-                    known = texts.places[usable] >= 0
-                    c, w, back = _pair_order(context[usable], np.where(known, texts.places[usable], 0), model.vocabulary)
-                    place, share, followers = level.find(c, w)
-                    if depth:
-                        new = np.flatnonzero(np.diff(c, prepend=-1))  # the first pair of each context
-                        times = levels[depth - 1].counts(c[new])[np.cumsum(np.diff(c, prepend=-1) > 0) - 1][back]
-                    else:
-                        times = context_counts[usable]
-                    weight = DISCOUNT * followers[back] / np.maximum(times, 1)
-                    mixed = np.where(known, share[back], 0.0) + weight * chance[usable]
-                    chance[usable] = np.where(followers[back] > 0, mixed, chance[usable])
-                    longer = np.full(len(context), -1, dtype=np.int64)
-                    longer[usable] = np.where(known, place[back], -1)
-                    context = texts.before(longer, -1)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("ids")[at].values, pa.array(texts.ends - texts.starts, pa.int64()),
-                    pa.array(np.add.reduceat((texts.counts > 0).astype(np.int64), texts.starts)),
-                    pa.array(np.add.reduceat(np.log10(base), texts.starts)), pa.array(np.add.reduceat(np.log10(chance), texts.starts)),
-                ], ["id", "n_tokens", "n_known", "base_score", "score"])
+                ids = batch.column("ids")[at].values
+                for own, texts in _runs(batch.column("block")[at].as_py()):
+                    base = (texts.counts + 0.5) / total
+                    chance = base.copy()
+                    context, context_counts = texts.before(texts.places, end_place), texts.before(texts.counts, end_count)
+                    for depth, level in enumerate(levels):
+                        usable = np.flatnonzero(context >= 0)
+                        if not len(usable):
+                            break
+                        known = texts.places[usable] >= 0
+                        c, w, back = _pair_order(context[usable], np.where(known, texts.places[usable], 0), model.vocabulary)
+                        place, share, followers = level.find(c, w)
+                        if depth:
+                            new = np.flatnonzero(np.diff(c, prepend=-1))  # the first pair of each context
+                            times = levels[depth - 1].counts(c[new])[np.cumsum(np.diff(c, prepend=-1) > 0) - 1][back]
+                        else:
+                            times = context_counts[usable]
+                        weight = DISCOUNT * followers[back] / np.maximum(times, 1)
+                        mixed = np.where(known, share[back], 0.0) + weight * chance[usable]
+                        chance[usable] = np.where(followers[back] > 0, mixed, chance[usable])
+                        longer = np.full(len(context), -1, dtype=np.int64)
+                        longer[usable] = np.where(known, place[back], -1)
+                        context = texts.before(longer, -1)
+                    yield pa.RecordBatch.from_arrays([
+                        ids[own], pa.array(texts.ends - texts.starts, pa.int64()),
+                        pa.array(np.add.reduceat((texts.counts > 0).astype(np.int64), texts.starts)),
+                        pa.array(np.add.reduceat(np.log10(base), texts.starts)), pa.array(np.add.reduceat(np.log10(chance), texts.starts)),
+                    ], ["id", "n_tokens", "n_known", "base_score", "score"])
 
     kind = coded.schema["ids"].dataType.elementType.simpleString()
     return coded.select("ids", "block").mapInArrow(run, f"id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
