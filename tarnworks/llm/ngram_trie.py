@@ -53,7 +53,7 @@ WORDS_PER_SHARD = 1 << 18
 TOKENS_PER_SHARD = 1 << 21
 TOKENS_PER_BLOCK = 1 << 21
 TOKENS_AT_ONCE = 3 << 18
-TOKENS_IN_RUN = 1 << 19
+TOKENS_IN_RUN = 1 << 18
 BYTES_AT_ONCE = 4_000_000
 KNOWN_WORDS = 300_000
 LEVELS_16 = 65535
