@@ -1,9 +1,10 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 
 from tarnworks.plans import operational_db
+from tarnworks.plans.catalogue import all_queries
 from tarnworks.schemas import SALES
 from tarnworks.sources import files, jdbc
 from tarnworks.workspace import shared_root, stage
@@ -46,6 +47,28 @@ def test_empty_table_is_read(spark, source):
     assert jdbc.read_table(spark, source, "nothing", partition_column="id", partitions=4).count() == 0
 
 
+def test_embedded_sales_are_loaded_by_one_writer(spark, folder, monkeypatch):
+    """Several writers keep each other from locking the table, and Derby then holds a lock for each row."""
+    data = folder("data")
+    spark.createDataFrame([(1, "p")], "p_partkey long, p_type string").write.parquet(f"{data}/part.parquet")
+    spark.createDataFrame([(1, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{data}/supplier.parquet")
+    spark.createDataFrame([(1, 1)], "n_nationkey int, n_regionkey int").write.parquet(f"{data}/nation.parquet")
+    spark.createDataFrame([(1, "EMEA")], "r_regionkey int, r_name string").write.parquet(f"{data}/region.parquet")
+    items = [(i // 2 if i % 5 else None, 1, 1 if i % 7 else None, 1, datetime(2025, 1, 1), 2.0) for i in range(100)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, l_quantity double"
+    spark.createDataFrame(items, names).repartition(4).write.parquet(f"{data}/lineitem.parquet")
+    writers = []
+
+    def counted(df, *args):
+        writers.append(df.rdd.getNumPartitions())
+        jdbc.write_table(df, *args)
+
+    monkeypatch.setattr(operational_db, "write_table", counted)
+    got = all_queries()["scan_jdbc"](spark, data).select("id", "amount").collect()
+    want = [(i // 2 * 10 + 1 if i % 5 else None, Decimal("43.00")) for i in range(100) if i % 7]
+    assert writers == [1] and sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_scan_pushes_filter_and_columns(spark, sf_dir):
     from pyspark.sql import functions as F
 
